@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontamination, langid, mil_quality, repetition
-from tidemark.llm.workspace import ship_package
+from tidemark.llm import bpe, decontamination, langid, licenses, mil_quality, pii, repetition, secrets, spans
+from tidemark.llm.workspace import materialize, ship_package
 from tidemark.plans.inputs import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,44 @@ def op10_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontamination.contaminated(found).alias("contaminated"),
         found["longest_words"].alias("longest_words"),
     )
+
+
+@query
+def op3_license_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices among the lines and paragraphs of every document."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op3_license_bigrams"] = licenses.oracle_sql()
+
+
+def _digest(found: DataFrame, kinds: list[str]) -> DataFrame:
+    """Counts of the base kinds, their digest, and all spans as text."""
+    base = F.col("base")
+    return found.select(
+        "doc_id",
+        *(spans.count_of(base, kind).alias(f"n_{kind}") for kind in kinds),
+        sha256_hex(spans.joined(base).cast("binary")).alias("base_sha256"),
+        spans.joined(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op9_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return _digest(found, ["assign", "access", "hex"])
+
+
+@query
+def op7_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = materialize(pii.with_candidates(docs, "candidates").select("doc_id", "candidates"), "pii-candidates")
+    classifier = pii.train_classifier(found, "candidates")
+    located = found.select(
+        "doc_id",
+        pii.base_spans(F.col("candidates")).alias("base"),
+        pii.all_spans(F.col("candidates"), classifier).alias("spans"),
+    )
+    return _digest(located, ["email", "ip", "card", "phone"])
