@@ -94,12 +94,12 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     return mix64(total)
 
 
-def doc_shingles(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of each text, text by text.
+def raw_shingles(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Shingle hashes of each text, repeats included, text by text.
 
-    Returns hashes, where each text's begin (one more entry than texts) and the word
-    counts. Hashes are sorted within a text. A text of fewer words than ``width`` but
-    not none has one shingle of all its words; one without words has none.
+    Returns hashes and where each text's begin, then word hashes and where each text's
+    begin (one more entry than texts). A text of fewer words than ``width`` but not none
+    has one shingle of all its words; one without words has none. A-Z count as a-z.
     """
     data, at = join_texts(texts)
     starts, ends = word_spans(data)
@@ -108,20 +108,46 @@ def doc_shingles(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray
     counts = np.diff(first)
     shingles = shingle_hashes(words, width)
     owner = np.repeat(np.arange(len(texts)), counts)
-    whole = np.zeros(len(words), dtype=bool)
-    whole[: len(shingles)] = owner[: len(shingles)] == owner[width - 1 :] if len(shingles) else False
-    whole = whole[: len(shingles)]
-    keys, docs = shingles[whole], owner[: len(shingles)][whole]
+    begin = owner[: len(shingles)]
+    whole = begin == owner[width - 1 :] if len(shingles) else np.zeros(0, dtype=bool)
+    keys, docs = shingles[whole], begin[whole]
     short = np.flatnonzero((counts > 0) & (counts < width))
     if len(short):
         own = [_short_key(words[first[i] : first[i + 1]]) for i in short]
-        keys, docs = np.concatenate([keys, np.array(own, dtype=np.uint64)]), np.concatenate([docs, short])
+        place = np.searchsorted(docs, short)
+        keys, docs = np.insert(keys, place, np.array(own, dtype=np.uint64)), np.insert(docs, place, short)
+    return keys, np.searchsorted(docs, np.arange(len(texts) + 1)), words, first
+
+
+def doc_shingles(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of each text, text by text, and where each text's begin."""
+    keys, first, _, _ = raw_shingles(texts, width)
+    docs = np.repeat(np.arange(len(texts)), np.diff(first))
     order = np.lexsort((keys, docs))
     keys, docs = keys[order], docs[order]
     fresh = np.ones(len(keys), dtype=bool)
     fresh[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])
     keys, docs = keys[fresh], docs[fresh]
-    return keys, np.searchsorted(docs, np.arange(len(texts) + 1)), counts
+    return keys, np.searchsorted(docs, np.arange(len(texts) + 1))
+
+
+class MinHasher:
+    """16 bits of each of ``size`` MinHash values per set of 64-bit hashes."""
+
+    def __init__(self, size: int, seed: int):
+        draw = np.random.default_rng(seed)
+        self.flips = draw.integers(0, 1 << 32, size, dtype=np.uint32)
+        self.factors = draw.integers(0, 1 << 31, size, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+
+    def signatures(self, keys: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """One row per set; rows of empty sets are zero."""
+        out = np.zeros((len(first) - 1, len(self.flips)), dtype=np.uint16)
+        some = np.flatnonzero(np.diff(first) > 0)
+        if len(some):
+            base, starts = (keys >> np.uint64(32)).astype(np.uint32), first[some]
+            for k, (flip, factor) in enumerate(zip(self.flips, self.factors)):
+                out[some, k] = np.minimum.reduceat((base ^ flip) * factor, starts).astype(np.uint16)
+        return out
 
 
 def _short_key(words: np.ndarray) -> int:
