@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontamination, langid, licenses, mil_quality, ngram_join, pii, repetition, secrets, spans
+from tidemark.llm import bpe, decontamination, langid, licenses, mil_quality, ngram_join, paragraph_dedup, pii, repetition, secrets, spans
 from tidemark.llm.workspace import materialize, ship_package
 from tidemark.plans.inputs import table
 
@@ -149,3 +149,9 @@ def op6_bayes_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class, links and copies of every document among its near duplicates."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_join.near_duplicates(docs).select("doc_id", "class_id", "n_links", "n_copies")
+
+
+@query
+def op8_paragraph_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated paragraphs, passages and whole texts of all documents."""
+    return paragraph_dedup.repeated_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
