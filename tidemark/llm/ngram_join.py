@@ -113,6 +113,8 @@ def _prune(batches: Iterator[pa.RecordBatch], settings: JoinSettings) -> Iterato
         lefts, rights = [], []
         for distance in range(1, int(np.bincount(sets).max())):
             left = pairs_at(distance, sets, across, own)
+            if not len(left):
+                continue
             matches = np.zeros(len(left), dtype=np.int64)
             for at in range(0, settings.hashes, step):
                 equal = values[left, at : at + step] == values[left + distance, at : at + step]
