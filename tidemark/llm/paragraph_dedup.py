@@ -226,17 +226,29 @@ def repeated_units(docs: DataFrame, settings: ParagraphSettings = ParagraphSetti
     chosen = materialize(chosen, "paragraph-texts")
     single = rows.join(chosen.select("row"), "row", "left_semi")
 
+    # A unit is its text's row and a slot: the first word of a passage, or -1 less the
+    # number of a paragraph. Rows this narrow are what the two large shuffles carry.
     passage = single.select("row", F.explode(F.arrays_zip("u.passage_first", "u.passage_key")).alias("p")).select(
-        "row", F.lit("passage").alias("kind"), F.col("p.passage_first").alias("first"), (F.col("p.passage_first") + settings.passage_words).alias("end"), F.xxhash64("p.passage_key", F.lit("passage")).alias("bucket")
+        "row", F.col("p.passage_first").cast("bigint").alias("slot"), F.xxhash64("p.passage_key", F.lit("passage")).alias("bucket")
     )
-    band = single.select("row", "u.par_first", "u.par_end", F.posexplode("u.par_bands").alias("at", "bucket"))
-    number = F.floor(F.col("at") / settings.bands).cast("int")
-    paragraph = band.select("row", F.lit("paragraph").alias("kind"), F.get("par_first", number).alias("first"), F.get("par_end", number).alias("end"), "bucket")
+    band = single.select("row", F.posexplode("u.par_bands").alias("at", "bucket"))
+    paragraph = band.select("row", (-1 - F.floor(F.col("at") / settings.bands)).cast("bigint").alias("slot"), "bucket")
     units = passage.unionAll(paragraph)
     sizes = units.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("bucket")
-    live = materialize(units.join(sizes, "bucket").groupBy("row", "kind", "first", "end").agg(F.collect_list("bucket").alias("buckets")), "paragraph-live")
+    live = materialize(units.join(sizes, "bucket").groupBy("row", "slot").agg(F.collect_list("bucket").alias("buckets")), "paragraph-live")
+
+    def placed(unit):
+        number = (-1 - unit["slot"]).cast("int")
+        return F.struct(
+            F.when(unit["slot"] < 0, "paragraph").otherwise("passage").alias("kind"),
+            F.when(unit["slot"] < 0, F.get("par_first", number)).otherwise(unit["slot"].cast("int")).alias("first"),
+            F.when(unit["slot"] < 0, F.get("par_end", number)).otherwise((unit["slot"] + settings.passage_words).cast("int")).alias("end"),
+            unit["buckets"].alias("buckets"),
+        )
 
-    asked = live.groupBy("row").agg(F.collect_list(F.struct("kind", "first", "end", "buckets")).alias("units")).join(rows.select("row", F.col("key").alias("key_"), F.col("same").alias("same_")), "row")
+    asked = live.groupBy("row").agg(F.collect_list(F.struct("slot", "buckets")).alias("slots"))
+    asked = asked.join(rows.select("row", F.col("key").alias("key_"), F.col("same").alias("same_"), "u.par_first", "u.par_end"), "row")
+    asked = asked.select("row", "key_", "same_", F.transform("slots", placed).alias("units"))
     bodies = docs.select(F.col(key).alias("key"), same.alias("same"), F.col(text).alias("body"))
     found = bodies.join(asked, (F.col("same") == F.col("same_")) & F.col("key").eqNullSafe(F.col("key_"))).dropDuplicates(["same", "key"])
     detailed = found.select("row", "key", "units", _detail_columns(F.col("body"), F.col("units"), settings).alias("details"))
