@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 #: The pattern that byte-level BPE vocabularies of this kind split text by.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words that each of the two halves of a worker's memo holds.
-MEMO = 350_000
+MEMO = 120_000
 ENCODED = "struct<ids:binary,decoded:string>"
 
 
@@ -145,7 +145,7 @@ class Codec:
                 pair = last[end - size] << 20 | token
                 fit = fits.get(pair)
                 if fit is None:
-                    if len(fits) >= 4 * MEMO:
+                    if len(fits) >= 3 * MEMO:
                         fits.clear()
                     fit = fits[pair] = self.may_follow(last[end - size], token)
                 if not fit:

@@ -209,7 +209,7 @@ def _merged(results: list[Column]) -> Column:
         results[0]["n_words"].alias("n_words"),
         F.aggregate(spans, F.array().cast("array<struct<first:int,end:int>>"), step).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.array(*[r["items"] for r in results])))).alias("items"),
-        best["col4"].alias("longest_words"),
+        best["longest_words"].alias("longest_words"),
         best["longest_first"].alias("longest_first"),
         best["longest_item"].alias("longest_item"),
     )
