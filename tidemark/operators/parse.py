@@ -27,25 +27,35 @@ def typed_rows(messages: DataFrame, kind: MessageType) -> DataFrame:
     A payload that is not valid JSON leaves its fields null; numbers that cannot be
     read become null.
     """
-    parsed = decode(messages).withColumn("body", F.from_json("payload", kind.payload_schema))
+    parsed = _once(decode(messages), F.from_json("payload", kind.payload_schema), "body")
 
     def column(field) -> Column:
         text = F.col(f"body.`{field.payload}`")
         return (lenient_int(text) if field.integer else text).alias(field.column)
 
-    return parsed.select(
+    typed = _once(parsed, F.struct(*(column(f) for f in kind.table_fields)), "fields")
+    return typed.select(
         KEY,
         "event_time",
-        *(column(f) for f in kind.table_fields),
+        *(F.col(f"fields.{f.column}").alias(f.column) for f in kind.table_fields),
         "msg_partition",
         "msg_offset",
     )
 
 
+def _once(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add a column that is computed once per row, however often it is used.
+
+    Filters on a plain projection are rewritten in terms of its input, which repeats the
+    expression for every use. They do not pass a generator, here one of a single row.
+    """
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def within(rows: DataFrame, bounds: dict[str, tuple[int, int]]) -> DataFrame:
     """Rows whose columns lie in the inclusive bounds; a null fails its bound."""
     for name, (low, high) in bounds.items():
-        rows = rows.filter(F.col(name).isNotNull() & F.col(name).between(low, high))
+        rows = rows.filter(F.col(name).between(low, high))
     return rows
 
 
@@ -56,12 +66,12 @@ def valid_location(messages: DataFrame) -> DataFrame:
 
 def valid_evdata(messages: DataFrame, bounds: dict[str, tuple[int, int]] | None = None) -> DataFrame:
     """Vehicle rows with a plausible range and model year."""
-    return within(typed_rows(messages, EVDATA), bounds or EVDATA_BOUNDS)
+    return within(typed_rows(messages, EVDATA), EVDATA_BOUNDS if bounds is None else bounds)
 
 
 def field_maps(messages: DataFrame) -> DataFrame:
     """Each message with its payload read as a flat string map (null if unreadable)."""
-    return decode(messages).withColumn("fields", F.from_json("payload", "map<string,string>"))
+    return _once(decode(messages), F.from_json("payload", "map<string,string>"), "fields")
 
 
 def readable(mapped: DataFrame) -> DataFrame:

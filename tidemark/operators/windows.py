@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -44,10 +45,12 @@ def sliding_counts_by_pane(
 ) -> DataFrame:
     """:func:`sliding_counts` for batch inputs, row by row identical.
 
-    Rows are first reduced to panes of one slide; only panes are copied into the windows
-    that cover them. ``size`` must be a multiple of ``slide``.
+    Rows are first reduced to panes; only panes are copied into the windows that cover
+    them. A pane is as wide as the greatest common divisor of size and slide, so it lies
+    in a window wholly or not at all.
     """
-    panes = rows.groupBy(F.window(time, slide).alias("p"), *groups).agg(
+    pane = f"{math.gcd(_seconds(size), _seconds(slide))} seconds"
+    panes = rows.groupBy(F.window(time, pane).alias("p"), *groups).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count(measure).alias("_n"),
         F.sum(F.col(measure).cast(f"decimal(18,{scale})")).alias("_sum"),
@@ -59,6 +62,12 @@ def sliding_counts_by_pane(
     return _finish(windowed, groups)
 
 
+def _seconds(interval: str) -> int:
+    """Seconds of an interval such as ``5 minutes``."""
+    count, unit = interval.split()
+    return int(count) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+
+
 def _finish(windowed: DataFrame, groups: Sequence[str]) -> DataFrame:
     return windowed.select(
         F.col("w.start").alias("window_start"),

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import PipelineConfig
 from tidemark.functions.lookup import field_by_name
@@ -535,13 +536,29 @@ EVENT_BODY = T.StructType(
 )
 
 
-def _event_topic(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    """Events published in three parts, streamed part by part and decoded."""
-    log = messages.MessageLog(spark, f"{root}/log")
-    for part in arrivals(events(spark, sf_dir), "ts", EVENT_CUTS):
-        log.publish(event_records(part), "events")
-    files = log.file_count("events")
-    stream = parse.decode(log.read_stream("events", -(-files // 3)))
+def _by_arrival(
+    log: messages.MessageLog, topic: str, parts: list[DataFrame], start: Callable[[DataFrame], StreamingQuery]
+) -> None:
+    """Publish a part, stream all there is, and go on with the next part.
+
+    Each start resumes from the same checkpoint. A part is one batch whatever its number
+    of files, so none of its rows can come behind the watermark of the others.
+    """
+    for part in parts:
+        log.publish(part, topic)
+        start(log.read_stream(topic)).awaitTermination()
+
+
+def _stream_events(
+    spark: SparkSession, sf_dir: str, root: str, start: Callable[[DataFrame], StreamingQuery]
+) -> None:
+    """Stream the events as they arrive in three parts; ``start`` gets them decoded."""
+    parts = [event_records(p) for p in arrivals(events(spark, sf_dir), "ts", EVENT_CUTS)]
+    _by_arrival(messages.MessageLog(spark, f"{root}/log"), "events", parts, lambda s: start(_decoded_events(s)))
+
+
+def _decoded_events(topic: DataFrame) -> DataFrame:
+    stream = parse.decode(topic)
     body = stream.select("event_time", F.from_json("payload", EVENT_BODY).alias("e"))
     return body.select(
         F.col("e.event_id").cast("long").alias("event_id"),
@@ -557,30 +574,50 @@ def _event_topic(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_run_dir(spark, "stream-upsert")
     keyed = _event_table(spark, sf_dir, f"{root}/table")
-    rows = _event_topic(spark, sf_dir, root).withColumn("ts", wall_clock("ts"))
-    writers.start_upserts(rows, keyed, f"{root}/checkpoint", None).awaitTermination()
+    _stream_events(
+        spark,
+        sf_dir,
+        root,
+        lambda rows: writers.start_upserts(
+            rows.withColumn("ts", wall_clock("ts")), keyed, f"{root}/checkpoint", None
+        ),
+    )
     return keyed.read().drop("bucket")
 
 
 @query
 def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_run_dir(spark, "stream-join")
-    rows = _event_topic(spark, sf_dir, root)
-    pairs = _pair_columns(_near_pairs(rows, rows, "10 minutes"))
-    writers.start_append(pairs, f"{root}/pairs", f"{root}/checkpoint", None).awaitTermination()
-    return spark.read.schema(pairs.schema).parquet(f"{root}/pairs")
+    _stream_events(
+        spark,
+        sf_dir,
+        root,
+        lambda rows: writers.start_append(
+            _pair_columns(_near_pairs(rows, rows, "10 minutes")), f"{root}/pairs", f"{root}/checkpoint", None
+        ),
+    )
+    rows = events(spark, sf_dir)
+    return spark.read.schema(_pair_columns(_near_pairs(rows, rows)).schema).parquet(f"{root}/pairs")
 
 
 @query
 def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sliding windows kept in a keyed table from the changes of each micro-batch."""
     root = new_run_dir(spark, "stream-windows")
-    rows = _event_topic(spark, sf_dir, root)
-    result = windows.sliding_counts(rows, "ts", ["event_type"], "value", watermark="10 minutes")
-    keyed = KeyedTable(
-        spark, f"{root}/table", result.schema, ["window_start", "event_type"], ["row_count"], buckets=8
+    schema = windows.sliding_counts(events(spark, sf_dir), "ts", ["event_type"], "value").schema
+    keyed = KeyedTable(spark, f"{root}/table", schema, ["window_start", "event_type"], ["row_count"], buckets=8)
+    _stream_events(
+        spark,
+        sf_dir,
+        root,
+        lambda rows: writers.start_upserts(
+            windows.sliding_counts(rows, "ts", ["event_type"], "value", watermark="10 minutes"),
+            keyed,
+            f"{root}/checkpoint",
+            None,
+            output_mode="update",
+        ),
     )
-    writers.start_upserts(result, keyed, f"{root}/checkpoint", None, output_mode="update").awaitTermination()
     return _window_columns(keyed.read())
 
 
@@ -589,10 +626,11 @@ def stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running counts of a topic, kept in a table while it is read."""
     root = new_run_dir(spark, "stream-summary")
     log = messages.MessageLog(spark, f"{root}/log")
-    for part in arrivals(evdata_records(spark, sf_dir, broken=True), "timestamp", _order_cuts()):
-        log.publish(part, "evdata")
-    stream = log.read_stream("evdata", -(-log.file_count("evdata") // 3))
     kept = SnapshotTable(spark, f"{root}/table", summaries.SUMMARY_SCHEMA)
-    counts = summaries.topic_summary(stream, EVDATA)
-    writers.start_replacing(counts, kept, f"{root}/checkpoint", None).awaitTermination()
+    _by_arrival(
+        log,
+        "evdata",
+        arrivals(evdata_records(spark, sf_dir, broken=True), "timestamp", _order_cuts()),
+        lambda s: writers.start_replacing(summaries.topic_summary(s, EVDATA), kept, f"{root}/checkpoint", None),
+    )
     return kept.read().drop("bucket").fillna("", ["field_value"])
