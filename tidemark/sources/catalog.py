@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -39,9 +41,17 @@ def recreate_table(spark: SparkSession, name: str, schema: T.StructType, table:
 
 
 def sync_buckets(
-    spark: SparkSession, name: str, table: SnapshotTable, snapshot: Snapshot, buckets: list[int]
+    spark: SparkSession,
+    name: str,
+    table: SnapshotTable,
+    snapshot: Snapshot,
+    buckets: list[int],
+    emptied: Iterable[int] = (),
 ) -> None:
-    """Point the partitions of changed buckets at the folders of a snapshot."""
+    """Point the partitions of changed buckets at the folders of a snapshot; drop ``emptied`` ones."""
+    gone = ", ".join(f"PARTITION ({BUCKET}={bucket})" for bucket in sorted(emptied))
+    if gone:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {gone}")
     for bucket in buckets:
         location = table.bucket_path(bucket, snapshot.versions[str(bucket)])
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({BUCKET}={bucket}) LOCATION '{location}'")

@@ -23,13 +23,15 @@ class Snapshot:
     """One committed state: the version folder that holds each bucket.
 
     ``progress`` has, per streaming query, its last merged batch and the rows consumed
-    so far; ``sources`` is free for tables derived from other tables.
+    so far; ``sources`` is free for tables derived from other tables. ``layout`` says
+    how rows were dealt out to the buckets.
     """
 
     id: int
     versions: dict[str, int] = field(default_factory=dict)
     progress: dict[str, dict] = field(default_factory=dict)
     sources: dict = field(default_factory=dict)
+    layout: dict = field(default_factory=dict)
 
     def buckets(self) -> list[int]:
         return sorted(int(b) for b in self.versions)
@@ -94,6 +96,10 @@ class SnapshotTable:
         rows = self.spark.read.schema(layout).option("basePath", self.path).parquet(*paths)
         return rows.select(*schema.fieldNames())
 
+    def layout(self) -> dict:
+        """What rows have to be placed by; nothing for tables whose caller places them."""
+        return {}
+
     def replace(
         self,
         rows: DataFrame,
@@ -120,6 +126,7 @@ class SnapshotTable:
             versions,
             current.progress if progress is None else progress,
             current.sources if sources is None else sources,
+            self.layout(),
         )
         fs.create_text(self.spark, f"{self._snapshots}/{version:010d}.json", json.dumps(asdict(committed)))
         self._drop_unused()
@@ -159,6 +166,9 @@ class KeyedTable(SnapshotTable):
         self.buckets = buckets
         self.files_per_bucket = files_per_bucket
 
+    def layout(self) -> dict:
+        return {"key": self.key, "order": self.order, "buckets": self.buckets}
+
     def _bucket_of_key(self) -> Column:
         complete = F.lit(True)
         for name in self.key:
@@ -174,6 +184,8 @@ class KeyedTable(SnapshotTable):
         Rows without a complete key are counted in the progress and left out.
         """
         current = self.snapshot()
+        if current and current.layout and current.layout != self.layout():
+            raise ValueError(f"the table was written with {current.layout}; rebuild it to change that")
         progress = dict(current.progress) if current else {}
         done = progress.get(query, {"batch_id": -1, "rows": 0, "rows_without_key": 0})
         if query is not None and batch_id is not None and batch_id <= done["batch_id"]:

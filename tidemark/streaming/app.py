@@ -70,7 +70,8 @@ class VehicleTables:
             return
         old = before.versions if before else {}
         changed = [b for b in after.buckets() if old.get(str(b)) != after.versions[str(b)]]
-        catalog.sync_buckets(self.spark, self.config.qualified(name), table, after, changed)
+        emptied = (int(b) for b in old.keys() - after.versions.keys())
+        catalog.sync_buckets(self.spark, self.config.qualified(name), table, after, changed, emptied)
 
     def refresh_aggregate(self) -> Snapshot | None:
         """Bring the aggregate up to date with both keyed tables.
