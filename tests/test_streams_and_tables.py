@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import joins, latest, parse, windows
+from tidemark.operators import aggregates, joins, latest, parse, windows
 from tidemark.plans.catalogue import QUERIES
 from tidemark.sources.tables import KeyedTable
 
@@ -48,6 +48,24 @@ def test_panes_equal_windows(spark, size, slide):
     assert sorted(map(str, plain.collect())) == sorted(map(str, paned.collect()))
 
 
+def test_averages_are_not_rounded(spark):
+    rows = spark.createDataFrame([("a", START, 0.004)] * 10 + [("b", START, float("nan")), ("c", START, None), ("d", START, 1e18)], "g string, ts timestamp, v double")
+    dims = spark.createDataFrame([(g, g.upper()) for g in "abcd"], "g string, n string")
+    want = {"A": pytest.approx(0.004), "B": pytest.approx(float("nan"), nan_ok=True), "C": None, "D": 1e18}
+    got = {r.n: r.avg_value for r in aggregates.joined_count_and_average(rows, dims, "g", ["n"], "v").collect()}
+    assert got == want
+    paned = windows.sliding_counts_by_pane(rows, "ts", ["g"], "v").collect()
+    assert len(paned) == 20 and all(r.avg_value == want[r.g.upper()] for r in paned)
+
+
+def test_fixed_values_at_a_finer_view(spark):
+    rows = spark.createDataFrame([("x", "p", 1.0), ("x", "p", 2.0), ("x", "q", 6.0), (None, "p", 5.0), ("y", None, None)], "a string, b string, v double")
+    inner = {"mean": ("avg", "v"), "top": ("max", "v"), "n": ("count", F.lit(1))}
+    outer = {"m": F.sum("mean"), "t": F.max("top"), "c": F.sum("n")}
+    got = aggregates.fixed_grain(rows, ["a"], ["a", "b"], inner, outer)
+    assert {tuple(r) for r in got.collect()} == {("x", "p", 3.0, 6.0, 3), ("x", "q", 3.0, 6.0, 3), (None, "p", 5.0, 5.0, 1), ("y", None, None, None, 1)}
+
+
 def test_latest_row_whatever_the_order(spark):
     rows = [("a", START, 1), ("a", START + dt.timedelta(seconds=1), 2), ("b", START + dt.timedelta(seconds=1), 3), ("b", START, 4)]
     for given in (rows, rows[::-1]):

@@ -1,4 +1,4 @@
-"""Casts and averages whose results do not depend on how rows are spread."""
+"""Casts of text to numbers, and averages from parts."""
 
 from __future__ import annotations
 
@@ -18,15 +18,18 @@ def lenient_int(text: Column) -> Column:
     return F.coalesce(text.try_cast("int"), F.when(has_value, cut).try_cast("int"))
 
 
-def exact_sum(value: Column, scale: int = 2) -> Column:
-    """Sum of a fractional column in decimals, so the order of addition cannot matter."""
-    return F.sum(value.cast(f"decimal(18,{scale})"))
+def settled(value: str | Column, digits: int = 4) -> Column:
+    """A sum or average of doubles as reported: ``digits`` places, without the unstable last ones.
 
+    The last bits of such a result depend on the order in which partial sums met. Plain
+    rounding would pass that on wherever a result lies on a half, as averages often do; the
+    offset moves the borders to where they do not.
+    """
+    column = F.col(value) if isinstance(value, str) else value
+    unit = 10.0**digits
+    return F.floor(column * unit + 0.41421356).cast("double") / unit
 
-def exact_avg(value: Column, scale: int = 2) -> Column:
-    """Average that is the same for every partitioning and every retry of a task.
 
-    Summing doubles gives last digits that depend on the order in which partial sums
-    meet. The decimal sum is exact; one division follows.
-    """
-    return exact_sum(value, scale).cast("double") / F.nullif(F.count(value), F.lit(0))
+def mean(total: Column, count: Column) -> Column:
+    """Average from a sum and a number of values, null for no values."""
+    return total.cast("double") / F.nullif(count, F.lit(0))

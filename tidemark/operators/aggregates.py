@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.numeric import mean
 from tidemark.operators.latest import latest_by_key
 from tidemark.schemas import KEY
 
@@ -48,7 +49,7 @@ def merge_range_parts(parts: DataFrame) -> DataFrame:
         "county",
         "make",
         "vehicle_count",
-        (F.col("_sum").cast("double") / F.nullif(F.col("_n"), F.lit(0))).alias("avg_electric_range"),
+        mean(F.col("_sum"), F.col("_n")).alias("avg_electric_range"),
     )
 
 
@@ -58,7 +59,6 @@ def joined_count_and_average(
     key: str,
     groups: Sequence[str],
     measure: str,
-    scale: int = 2,
     count_name: str = "row_count",
     avg_name: str = "avg_value",
 ) -> DataFrame:
@@ -67,11 +67,10 @@ def joined_count_and_average(
     Facts shrink to one row per key on the map side before the join. That
     aggregation and the join share one shuffle of the facts.
     """
-    amount = F.col(measure).cast(f"decimal(18,{scale})")
     per_key = facts.groupBy(key).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count(measure).alias("_n"),
-        F.sum(amount).alias("_sum"),
+        F.sum(measure).alias("_sum"),
     )
     joined = per_key.join(dimension.select(key, *groups), key)
     sums = joined.groupBy(*groups).agg(
@@ -79,8 +78,7 @@ def joined_count_and_average(
         F.sum("_n").alias("_n"),
         F.sum("_sum").alias("_sum"),
     )
-    average = F.col("_sum").cast("double") / F.nullif(F.col("_n"), F.lit(0))
-    return sums.select(*groups, count_name, average.alias(avg_name))
+    return sums.select(*groups, count_name, mean(F.col("_sum"), F.col("_n")).alias(avg_name))
 
 
 def counts_by(rows: DataFrame, *groups: str, count_name: str = "row_count") -> DataFrame:
@@ -121,25 +119,43 @@ def ring_shares(rows: DataFrame, outer: str, inner: str, count_name: str = "row_
     return rings.withColumn("share", F.col(count_name).cast("double") / total)
 
 
+_AGGREGATES = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max, "avg": F.avg}
+_MERGES = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+
+
 def fixed_grain(
     rows: DataFrame,
     fixed: Sequence[str],
     view: Sequence[str],
-    inner: dict[str, Column],
+    inner: dict[str, tuple[str, str | Column]],
     outer: dict[str, Column],
 ) -> DataFrame:
     """Aggregate at a fixed grain, then again at the grain of the view.
 
-    ``inner`` holds aggregates over ``rows`` by ``fixed``; ``outer`` holds aggregates over
-    the inner names by ``view``. A view with further columns sees each fixed value once
-    per combination.
+    ``inner`` names aggregates over ``rows`` by ``fixed``, each given as count, sum, min,
+    max or avg and what it is taken of; ``outer`` holds aggregates over the inner names
+    by ``view``. A view with further columns sees each fixed value once per combination:
+    rows are then read once, aggregated at the finest grain, and the parts merged.
     """
     finer = [c for c in view if c not in fixed]
-    per_fixed = rows.groupBy(*fixed).agg(*(c.alias(n) for n, c in inner.items()))
     if finer:
-        names = [f"_fixed_{i}" for i in range(len(fixed))]
-        cells = rows.select(*fixed, *finer).distinct()
-        values = per_fixed.withColumnsRenamed(dict(zip(fixed, names)))
-        same = [F.col(f).eqNullSafe(F.col(n)) for f, n in zip(fixed, names)]
-        per_fixed = cells.join(values, same).drop(*names)
+        parts = [part for name, (how, what) in inner.items() for part in _parts(name, how, what)]
+        cells = rows.groupBy(*fixed, *finer).agg(*parts)
+        per_fixed = cells.select(*fixed, *finer, *(_merged(name, how, fixed) for name, (how, _) in inner.items()))
+    else:
+        per_fixed = rows.groupBy(*fixed).agg(*(_AGGREGATES[how](what).alias(name) for name, (how, what) in inner.items()))
     return per_fixed.groupBy(*view).agg(*(c.alias(n) for n, c in outer.items()))
+
+
+def _parts(name: str, how: str, what: str | Column) -> list[Column]:
+    if how == "avg":
+        return [F.sum(what).alias(f"{name}_sum"), F.count(what).alias(f"{name}_n")]
+    return [_AGGREGATES[how](what).alias(name)]
+
+
+def _merged(name: str, how: str, fixed: Sequence[str]) -> Column:
+    """The aggregate of all cells that share the fixed columns."""
+    grain = Window.partitionBy(*fixed)
+    if how == "avg":
+        return mean(F.sum(f"{name}_sum").over(grain), F.sum(f"{name}_n").over(grain)).alias(name)
+    return _MERGES[how](name).over(grain).alias(name)

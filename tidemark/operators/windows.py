@@ -8,28 +8,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.numeric import mean
+
 
 def sliding_counts(
     rows: DataFrame,
     time: str,
     groups: Sequence[str],
     measure: str,
-    scale: int = 2,
     size: str = "5 minutes",
     slide: str = "1 minute",
     watermark: str | None = None,
 ) -> DataFrame:
-    """Count and average of ``measure`` per sliding window and group.
-
-    Sums are decimal, so averages do not depend on the order of rows or on how a
-    stream was cut into batches.
-    """
+    """Count and average of ``measure`` per sliding window and group."""
     if watermark:
         rows = rows.withWatermark(time, watermark)
     windowed = rows.groupBy(F.window(time, size, slide).alias("w"), *groups).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count(measure).alias("_n"),
-        F.sum(F.col(measure).cast(f"decimal(18,{scale})")).alias("_sum"),
+        F.sum(measure).alias("_sum"),
     )
     return _finish(windowed, groups)
 
@@ -39,11 +36,10 @@ def sliding_counts_by_pane(
     time: str,
     groups: Sequence[str],
     measure: str,
-    scale: int = 2,
     size: str = "5 minutes",
     slide: str = "1 minute",
 ) -> DataFrame:
-    """:func:`sliding_counts` for batch inputs, row by row identical.
+    """:func:`sliding_counts` for batch inputs; the last bits of an average may differ.
 
     Rows are first reduced to panes; only panes are copied into the windows that cover
     them. A pane is as wide as the greatest common divisor of size and slide, so it lies
@@ -53,7 +49,7 @@ def sliding_counts_by_pane(
     panes = rows.groupBy(F.window(time, pane).alias("p"), *groups).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count(measure).alias("_n"),
-        F.sum(F.col(measure).cast(f"decimal(18,{scale})")).alias("_sum"),
+        F.sum(measure).alias("_sum"),
     )
     pane_start = panes.select(F.col("p.start").alias("_start"), *groups, "_rows", "_n", "_sum")
     windowed = pane_start.groupBy(F.window("_start", size, slide).alias("w"), *groups).agg(
@@ -74,5 +70,5 @@ def _finish(windowed: DataFrame, groups: Sequence[str]) -> DataFrame:
         F.col("w.end").alias("window_end"),
         *groups,
         F.col("_rows").alias("row_count"),
-        (F.col("_sum").cast("double") / F.nullif(F.col("_n"), F.lit(0))).alias("avg_value"),
+        mean(F.col("_sum"), F.col("_n")).alias("avg_value"),
     )

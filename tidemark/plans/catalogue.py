@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.config import PipelineConfig
 from tidemark.functions.lookup import field_by_name
 from tidemark.functions.messages import message_key, row_json
-from tidemark.functions.numeric import exact_avg, exact_sum, lenient_int
+from tidemark.functions.numeric import lenient_int, settled
 from tidemark.operators import aggregates, joins, latest, parse, windows
 from tidemark.plans.inputs import (
     EVENT_CUTS,
@@ -23,6 +23,7 @@ from tidemark.plans.inputs import (
     event_records,
     events,
     location_records,
+    sighting_records,
     table,
     wall_clock,
 )
@@ -47,7 +48,7 @@ def query(function: Query) -> Query:
 
 @query
 def join_group_count_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.joined_count_and_average(
+    result = aggregates.joined_count_and_average(
         table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey"),
         table(spark, sf_dir, "customer"),
         "c_custkey",
@@ -56,6 +57,7 @@ def join_group_count_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
         count_name="order_count",
         avg_name="avg_totalprice",
     )
+    return result.withColumn("avg_totalprice", settled("avg_totalprice"))
 
 
 @query
@@ -66,6 +68,39 @@ def keyed_join_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.count_and_average(joins.vehicle_join(location, evdata))
 
 
+@query
+def null_keys_and_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages without a key join nothing; those without county or make form groups of their own."""
+    number = F.col("row_index") - 1
+
+    def without(records: DataFrame, name: str, every: int, keyless: int) -> DataFrame:
+        value = F.regexp_replace("value", f'"{name}":"[^"]*"', f'"{name}":null')
+        return records.withColumn("value", F.when(number % every == 0, value).otherwise(F.col("value"))).withColumn(
+            "key", F.when(number % keyless != 0, F.col("key"))
+        )
+
+    location = without(location_records(spark, sf_dir), "county", 5, 7)
+    evdata = without(evdata_records(spark, sf_dir), "make", 3, 4)
+    return aggregates.count_and_average(
+        joins.vehicle_join(
+            latest.latest_by_key(parse.valid_location(as_messages(location))),
+            latest.latest_by_key(parse.valid_evdata(as_messages(evdata))),
+        )
+    )
+
+
+def _vehicle_pairs(location: DataFrame, evdata: DataFrame, watermark: str | None = None) -> DataFrame:
+    return joins.vehicle_interval_join(parse.valid_location(location), parse.valid_evdata(evdata), watermark)
+
+
+@query
+def vehicle_interval_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of both topics at most ten minutes apart, counted and averaged."""
+    rows = events(spark, sf_dir)
+    clicks, purchases = (as_messages(sighting_records(rows, kind)) for kind in ("click", "purchase"))
+    return aggregates.count_and_average(_vehicle_pairs(clicks, purchases))
+
+
 def _side(rows: DataFrame, event_type: str, prefix: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     return rows.filter(F.col("event_type") == event_type).select(
@@ -146,12 +181,12 @@ def relationship_no_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = (
         table(spark, sf_dir, "supplier")
         .groupBy(F.col("s_nationkey").alias("nationkey"))
-        .agg(F.count(F.lit(1)).alias("suppliers"), exact_sum(F.col("s_acctbal")).cast("double").alias("s_acctbal"))
+        .agg(F.count(F.lit(1)).alias("suppliers"), settled(F.sum("s_acctbal"), 2).alias("s_acctbal"))
     )
     customers = (
         table(spark, sf_dir, "customer")
         .groupBy(F.col("c_nationkey").alias("nationkey"))
-        .agg(F.count(F.lit(1)).alias("customers"), exact_sum(F.col("c_acctbal")).cast("double").alias("c_acctbal"))
+        .agg(F.count(F.lit(1)).alias("customers"), settled(F.sum("c_acctbal"), 2).alias("c_acctbal"))
     )
     names = ["suppliers", "customers"]
     return joins.aligned_totals(suppliers, customers, "nationkey").fillna(0, names).fillna(0.0)
@@ -191,8 +226,8 @@ def fixed_grain_avg_vs_max(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined,
         dims,
         dims,
-        {"_avg": exact_avg(F.col("o_totalprice")), "_max": F.max("o_totalprice")},
-        {"sum_of_avg": F.sum("_avg"), "max_totalprice": F.max("_max")},
+        {"_avg": ("avg", "o_totalprice"), "_max": ("max", "o_totalprice")},
+        {"sum_of_avg": settled(F.sum("_avg")), "max_totalprice": F.max("_max")},
     )
 
 
@@ -203,8 +238,8 @@ def fixed_grain_finer_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         _orders_by_customer(spark, sf_dir),
         ["c_nationkey", "c_mktsegment"],
         ["c_nationkey", "c_mktsegment", "o_orderstatus"],
-        {"_avg": exact_avg(F.col("o_totalprice"))},
-        {"fixed_avg": F.sum("_avg")},
+        {"_avg": ("avg", "o_totalprice")},
+        {"fixed_avg": settled(F.sum("_avg"))},
     )
 
 
@@ -215,8 +250,8 @@ def fixed_grain_coarser_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         _orders_by_customer(spark, sf_dir),
         ["c_nationkey", "c_mktsegment"],
         ["c_nationkey"],
-        {"_max": F.max("o_totalprice"), "_n": F.count(F.lit(1))},
-        {"sum_of_max": exact_sum(F.col("_max")).cast("double"), "row_count": F.sum("_n")},
+        {"_max": ("max", "o_totalprice"), "_n": ("count", F.lit(1))},
+        {"sum_of_max": settled(F.sum("_max"), 2), "row_count": F.sum("_n")},
     )
 
 
@@ -234,12 +269,12 @@ def measure_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_status = (
         table(spark, sf_dir, "orders")
         .groupBy("o_orderstatus")
-        .agg(F.max("o_totalprice").alias("top"), exact_sum(F.col("o_totalprice")).alias("total"))
+        .agg(F.max("o_totalprice").alias("top"), F.sum("o_totalprice").alias("total"))
     )
     return per_status.agg(
-        exact_avg(F.col("top")).alias("avg_of_tops"),
-        exact_sum(F.col("top")).cast("double").alias("sum_of_tops"),
-        F.sum("total").cast("double").alias("sum_totalprice"),
+        settled(F.avg("top")).alias("avg_of_tops"),
+        settled(F.sum("top"), 2).alias("sum_of_tops"),
+        settled(F.sum("total"), 2).alias("sum_totalprice"),
     )
 
 
@@ -255,7 +290,7 @@ def _window_columns(result: DataFrame) -> DataFrame:
         wall_clock("window_end").alias("window_end"),
         "event_type",
         "row_count",
-        "avg_value",
+        settled("avg_value").alias("avg_value"),
     )
 
 
@@ -300,8 +335,7 @@ def location_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def evdata_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = parse.consumed_fields(as_messages(evdata_records(spark, sf_dir, broken=True)), EVDATA)
-    return rows.drop("electric_range")
+    return parse.consumed_fields(as_messages(evdata_records(spark, sf_dir, broken=True)), EVDATA)
 
 
 @query
@@ -431,6 +465,18 @@ def topic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.topic_counts("location", "evdata")
 
 
+@query
+def bounded_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both CSV inputs published with a limit for each topic, and what the topics then hold."""
+    config = _vehicle_config(spark, "publish")
+    location_csv, evdata_csv = f"{config.messages}-location", f"{config.messages}-evdata"
+    _csv_of_customers(spark, sf_dir, location_csv)
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("DOL Vehicle ID"), F.col("o_orderpriority").alias("Make"))
+    orders.write.option("header", True).csv(evdata_csv)
+    messages.publish_both(spark, config, location_csv, evdata_csv, 2000)
+    return messages.MessageLog(spark, config.messages).topic_counts(config.location_topic, config.evdata_topic)
+
+
 @query
 def bounded_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A bounded consume: the first 500 messages of a topic."""
@@ -600,6 +646,19 @@ def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(_pair_columns(_near_pairs(rows, rows)).schema).parquet(f"{root}/pairs")
 
 
+@query
+def stream_vehicle_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both topics joined as streams within ten minutes, then counted and averaged."""
+    root = new_run_dir(spark, "stream-vehicles")
+    log = messages.MessageLog(spark, f"{root}/log")
+    for part in arrivals(events(spark, sf_dir), "ts", EVENT_CUTS):
+        log.publish(sighting_records(part, "click"), "location")
+        log.publish(sighting_records(part, "purchase"), "evdata")
+        pairs = _vehicle_pairs(log.read_stream("location"), log.read_stream("evdata"), "10 minutes")
+        writers.start_append(pairs, f"{root}/pairs", f"{root}/checkpoint", None).awaitTermination()
+    return aggregates.count_and_average(spark.read.schema(pairs.schema).parquet(f"{root}/pairs"))
+
+
 @query
 def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sliding windows kept in a keyed table from the changes of each micro-batch."""

@@ -65,6 +65,23 @@ def event_records(rows: DataFrame) -> DataFrame:
     )
 
 
+def sighting_records(rows: DataFrame, event_type: str) -> DataFrame:
+    """Events of one type as records that have fields of both topics, keyed by user."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    quarter = F.floor(k / 25).cast("string")
+    body = rows.filter(F.col("event_type") == event_type).select(
+        F.col("user_id").cast("string").alias("key"),
+        F.concat(F.lit("County "), quarter).alias("county"),
+        F.concat(F.lit("Make "), quarter).alias("make"),
+        k.cast("string").alias("electric_range"),
+        F.year("ts").cast("string").alias("model_year"),
+        F.col("ts").alias("timestamp"),
+        (F.col("event_id") + 1).alias("row_index"),
+    )
+    value = row_json(["county", "make", "electric_range", "model_year"])
+    return body.select("key", value.alias("value"), "timestamp", "row_index")
+
+
 def location_records(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
     """One location record per customer: nation as county, market segment as city.
 

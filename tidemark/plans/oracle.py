@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+
+def _settled(value: str, digits: int = 4) -> str:
+    """What remains of a sum or average of doubles whatever the order of addition."""
+    return f"floor(({value}) * 1e{digits} + 0.41421356) / 1e{digits}"
+
+
 _LATEST_EVENTS = """
 SELECT event_id, ts, user_id, event_type, value, props FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events
@@ -23,9 +29,9 @@ FROM c JOIN p ON c.user_id = p.user_id
 """
 )
 
-_SLIDING = """
+_SLIDING = f"""
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, event_type,
-       COUNT(*) AS row_count, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(value) AS avg_value
+       COUNT(*) AS row_count, {_settled("AVG(value)")} AS avg_value
 FROM (
   SELECT event_type, value, date_trunc('minute', ts) - to_minutes(CAST(s.i AS BIGINT)) AS window_start
   FROM events, (SELECT unnest(range(0, 5)) AS i) s
@@ -37,6 +43,8 @@ _EVDATA = """
 WITH raw AS (
   SELECT CAST(o_custkey AS VARCHAR) AS dol_vehicle_id, o_orderdate AS event_time, o_orderkey AS msg_offset,
          o_orderpriority AS make, o_orderstatus AS model,
+         CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'unknown'
+              ELSE CAST(o_totalprice / 800 AS VARCHAR) END AS range_text,
          CAST(year(o_orderdate) + floor(o_totalprice / 15000) AS INTEGER) AS model_year,
          CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL
               ELSE CAST(trunc(o_totalprice / 800) AS INTEGER) END AS electric_range,
@@ -63,6 +71,36 @@ GROUP BY 1, 2
 """
 )
 
+_VEHICLE_INTERVAL = (
+    _EVENT_KINDS
+    + """
+SELECT 'County ' || CAST(CAST(floor(c.k / 25) AS INTEGER) AS VARCHAR) AS county,
+       'Make ' || CAST(CAST(floor(p.k / 25) AS INTEGER) AS VARCHAR) AS make,
+       COUNT(*) AS vehicle_count, AVG(p.k) AS avg_electric_range
+FROM c JOIN p ON c.user_id = p.user_id
+ AND c.ts >= p.ts - INTERVAL 10 MINUTE AND c.ts <= p.ts + INTERVAL 10 MINUTE
+GROUP BY 1, 2
+"""
+)
+
+_NULL_GROUPS = (
+    _EVDATA
+    + """
+, newest AS (
+  SELECT * FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY dol_vehicle_id ORDER BY event_time DESC, msg_offset DESC) AS rn
+    FROM valid WHERE msg_offset % 4 <> 0
+  ) WHERE rn = 1
+)
+SELECT CASE WHEN c_custkey % 5 <> 0 THEN 'County ' || CAST(c_nationkey AS VARCHAR) END AS county,
+       CASE WHEN msg_offset % 3 <> 0 THEN make END AS make,
+       COUNT(*) AS vehicle_count, AVG(electric_range) AS avg_electric_range
+FROM newest JOIN customer ON dol_vehicle_id = CAST(c_custkey AS VARCHAR)
+WHERE c_custkey % 7 <> 0
+GROUP BY 1, 2
+"""
+)
+
 _EVDATA_SUMMARY = """
 SELECT '_consumed' AS field, '' AS field_value, COUNT(*) AS row_count FROM orders
 UNION ALL
@@ -77,9 +115,8 @@ FROM orders WHERE o_orderpriority <> '1-URGENT' GROUP BY t
 """
 
 ORACLE: dict[str, str] = {
-    "join_group_count_avg": """
-SELECT c_nationkey, c_mktsegment, COUNT(*) AS order_count,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice) AS avg_totalprice
+    "join_group_count_avg": f"""
+SELECT c_nationkey, c_mktsegment, COUNT(*) AS order_count, {_settled("AVG(o_totalprice)")} AS avg_totalprice
 FROM orders JOIN customer ON o_custkey = c_custkey
 GROUP BY c_nationkey, c_mktsegment
 """,
@@ -87,6 +124,9 @@ GROUP BY c_nationkey, c_mktsegment
     "aggregate_refresh": _AGGREGATE,
     "stream_tables": _AGGREGATE,
     "rebuild_tables": _AGGREGATE,
+    "null_keys_and_groups": _NULL_GROUPS,
+    "vehicle_interval_aggregate": _VEHICLE_INTERVAL,
+    "stream_vehicle_interval": _VEHICLE_INTERVAL,
     "interval_join": _INTERVAL_JOIN,
     "stream_interval_join": _INTERVAL_JOIN,
     "interval_join_grouped": _EVENT_KINDS
@@ -108,13 +148,13 @@ SELECT COALESCE(s_nationkey, -1) AS s_nationkey, c_mktsegment, COUNT(*) AS row_c
 FROM customer LEFT JOIN supplier ON c_custkey = s_suppkey
 GROUP BY 1, 2
 """,
-    "relationship_no_fanout": """
+    "relationship_no_fanout": f"""
 WITH s AS (
-  SELECT s_nationkey AS nationkey, COUNT(*) AS suppliers,
-         CAST(SUM(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS s_acctbal FROM supplier GROUP BY 1
+  SELECT s_nationkey AS nationkey, COUNT(*) AS suppliers, {_settled("SUM(s_acctbal)", 2)} AS s_acctbal
+  FROM supplier GROUP BY 1
 ), c AS (
-  SELECT c_nationkey AS nationkey, COUNT(*) AS customers,
-         CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS c_acctbal FROM customer GROUP BY 1
+  SELECT c_nationkey AS nationkey, COUNT(*) AS customers, {_settled("SUM(c_acctbal)", 2)} AS c_acctbal
+  FROM customer GROUP BY 1
 )
 SELECT COALESCE(s.nationkey, c.nationkey) AS nationkey,
        COALESCE(suppliers, 0) AS suppliers, COALESCE(s_acctbal, 0) AS s_acctbal,
@@ -138,37 +178,34 @@ SELECT COALESCE(nation, '') AS nation, COALESCE(c_mktsegment, '') AS c_mktsegmen
 FROM (SELECT CAST(c_nationkey AS VARCHAR) AS nation, c_mktsegment FROM customer)
 GROUP BY ROLLUP (nation, c_mktsegment)
 """,
-    "fixed_grain_avg_vs_max": """
-SELECT c_nationkey, c_mktsegment,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice) AS sum_of_avg,
+    "fixed_grain_avg_vs_max": f"""
+SELECT c_nationkey, c_mktsegment, {_settled("AVG(o_totalprice)")} AS sum_of_avg,
        MAX(o_totalprice) AS max_totalprice
 FROM orders JOIN customer ON o_custkey = c_custkey
 GROUP BY c_nationkey, c_mktsegment
 """,
-    "fixed_grain_finer_view": """
+    "fixed_grain_finer_view": f"""
 WITH j AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey),
 f AS (
-  SELECT c_nationkey, c_mktsegment,
-         CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice) AS fixed_avg
+  SELECT c_nationkey, c_mktsegment, {_settled("AVG(o_totalprice)")} AS fixed_avg
   FROM j GROUP BY c_nationkey, c_mktsegment
 )
 SELECT v.c_nationkey, v.c_mktsegment, v.o_orderstatus, f.fixed_avg
 FROM (SELECT DISTINCT c_nationkey, c_mktsegment, o_orderstatus FROM j) v
 JOIN f ON f.c_nationkey = v.c_nationkey AND f.c_mktsegment = v.c_mktsegment
 """,
-    "fixed_grain_coarser_view": """
-SELECT c_nationkey, CAST(SUM(CAST(m AS DECIMAL(18,2))) AS DOUBLE) AS sum_of_max, CAST(SUM(n) AS BIGINT) AS row_count
+    "fixed_grain_coarser_view": f"""
+SELECT c_nationkey, {_settled("SUM(m)", 2)} AS sum_of_max, CAST(SUM(n) AS BIGINT) AS row_count
 FROM (
   SELECT c_nationkey, c_mktsegment, MAX(o_totalprice) AS m, COUNT(*) AS n
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey, c_mktsegment
 ) GROUP BY c_nationkey
 """,
-    "measure_sums": """
-SELECT CAST(SUM(CAST(top AS DECIMAL(18,2))) AS DOUBLE) / COUNT(top) AS avg_of_tops,
-       CAST(SUM(CAST(top AS DECIMAL(18,2))) AS DOUBLE) AS sum_of_tops,
-       CAST(SUM(total) AS DOUBLE) AS sum_totalprice
+    "measure_sums": f"""
+SELECT {_settled("AVG(top)")} AS avg_of_tops, {_settled("SUM(top)", 2)} AS sum_of_tops,
+       {_settled("SUM(total)", 2)} AS sum_totalprice
 FROM (
-  SELECT o_orderstatus, MAX(o_totalprice) AS top, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS total
+  SELECT o_orderstatus, MAX(o_totalprice) AS top, SUM(o_totalprice) AS total
   FROM orders GROUP BY o_orderstatus
 )
 """,
@@ -211,7 +248,7 @@ FROM customer WHERE c_nationkey <> 7
     + """
 SELECT 0 AS msg_partition, msg_offset, 'VIN' || dol_vehicle_id AS vin, CAST(model_year AS VARCHAR) AS model_year,
        make, model, electric_vehicle_type, 'Clean Alternative Fuel Vehicle Eligible' AS cafv_eligibility,
-       'N/A' AS legislative_district, dol_vehicle_id, 'Utility \\ "' || model || '"' AS electric_utility,
+       range_text AS electric_range, 'N/A' AS legislative_district, dol_vehicle_id, 'Utility \\ "' || model || '"' AS electric_utility,
        CAST(msg_offset AS VARCHAR) AS census_tract_2020
 FROM raw WHERE make <> '1-URGENT'
 """,
@@ -250,6 +287,12 @@ FROM customer
 SELECT 'location' AS topic, COUNT(*) AS messages FROM customer
 UNION ALL SELECT 'evdata', COUNT(*) FROM orders
 UNION ALL SELECT 'total', (SELECT COUNT(*) FROM customer) + (SELECT COUNT(*) FROM orders)
+""",
+    "bounded_publish": """
+WITH n AS (SELECT LEAST(2000, (SELECT COUNT(*) FROM customer)) AS location, LEAST(2000, (SELECT COUNT(*) FROM orders)) AS evdata)
+SELECT 'electric-vehicle-location' AS topic, location AS messages FROM n
+UNION ALL SELECT 'electric-vehicle-evdata', evdata FROM n
+UNION ALL SELECT 'total', location + evdata FROM n
 """,
     "bounded_read": """
 SELECT CAST(user_id AS VARCHAR) AS user_key, event_id AS msg_offset, ts AS event_time
