@@ -5,7 +5,8 @@ case, all else a space) and compared to the templates as sets of word bigrams. S
 bound the coefficient: sets of n and m bigrams reach t only if m lies between n*t/(2-t)
 and n*(2-t)/t, so templates outside are never compared. A segment that reaches t with a
 template also shares one of any m - ceil(t*m/(2-t)) + 1 of its bigrams; the longest ones
-are looked for first. Both prunings are exact.
+are looked for first, and before a text is normalised at all it must have a word of one
+of them. These prunings are exact.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,14 +59,33 @@ def anchors(bigrams: list[str], threshold: float) -> list[str]:
     return sorted(bigrams, key=lambda b: (-len(b), b))[: len(bigrams) - least + 1]
 
 
+def marks(anchor_bigrams: list[str]) -> list[str]:
+    """Words one of which stands in every text that has an anchor: the longer one of each.
+
+    A word that contains another of them is not needed.
+    """
+    words = {max(a.split(" "), key=len) for a in anchor_bigrams}
+    return sorted(w for w in words if not any(other in w for other in words - {w}))
+
+
+def _has_any(text: Column, parts: list[str]) -> Column:
+    """Whether one of the parts stands in the text, which is computed once."""
+    return F.exists(F.array(text), lambda t: reduce(or_, [t.contains(p) for p in parts]))
+
+
 def segments(text: Column) -> Column:
     """Distinct lines and paragraphs; a null text has none."""
     lines, paragraphs = F.split(text, "\n", -1), F.split(text, "\n[ \t\r]*\n", -1)
     return F.array_distinct(F.when(text.contains("\n"), F.concat(lines, paragraphs)).otherwise(lines))
 
 
-def _bigrams(segment: Column) -> Column:
-    words = F.split(F.trim(F.regexp_replace(F.lower(segment), "[^a-z0-9]+", " ")), " ")
+def _normalised(segment: Column) -> Column:
+    """Its words between single spaces, with one at each end."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(segment), "[^a-z0-9]+", " ")), F.lit(" "))
+
+
+def _bigrams(normalised: Column) -> Column:
+    words = F.split(F.trim(normalised), " ")
     pairs = F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda a, b: F.concat(a, F.lit(" "), b))
     return F.when(F.size(words) > 1, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
 
@@ -85,11 +107,15 @@ def scan_licenses(
     bounds = {name: size_bounds(len(s), threshold) for name, s in sets.items()}
     wanted = sorted({a for s in sets.values() for a in anchors(s, threshold)})
     low, high = min(b[0] for b in bounds.values()), max(b[1] for b in bounds.values())
+    words = marks(wanted)
     found = (
-        docs.select(F.col(key).alias("k"), F.explode(segments(F.col(text))).alias("segment"))
-        .filter(F.char_length("segment") > 3)
-        .select("k", "segment", F.explode(F.array(_bigrams(F.col("segment")))).alias("b"))
-        .filter(F.size("b").between(low, high) & F.arrays_overlap("b", F.lit(wanted)))
+        docs.filter(_has_any(F.lower(text), words))
+        .select(F.col(key).alias("k"), F.explode(segments(F.col(text))).alias("segment"))
+        .filter((F.char_length("segment") > 3) & _has_any(F.lower("segment"), words))
+        .select("k", "segment", F.explode(F.array(_normalised(F.col("segment")))).alias("n"))
+        .filter(_has_any(F.col("n"), [f" {a} " for a in wanted]))
+        .select("k", "segment", F.explode(F.array(_bigrams(F.col("n")))).alias("b"))
+        .filter(F.size("b").between(low, high))
     )
 
     def scored(name: str) -> Column:
