@@ -142,10 +142,15 @@ def train_language_model(
 
     Rows with a null key or language teach nothing. None if no row is left.
     """
-    rank = F.row_number().over(Window.partitionBy(lang).orderBy(F.xxhash64(key), key))
+    known = labelled.filter(F.col(key).isNotNull() & F.col(lang).isNotNull()).select(key, lang, F.xxhash64(key).alias("order"))
+    # Only the least hashes are ranked, twice as many as needed: a language may have most of
+    # the rows. One row a language is broadcast.
+    sizes = known.groupBy(F.col(lang).alias("sized")).agg(F.count(F.lit(1)).alias("size"))
+    place = F.col("order") / 2.0**64 + 0.5
+    rank = F.row_number().over(Window.partitionBy(lang).orderBy("order", key))
     picked = (
-        labelled.filter(F.col(key).isNotNull() & F.col(lang).isNotNull())
-        .select(key, lang)
+        known.join(F.broadcast(sizes), F.col(lang) == F.col("sized"))
+        .filter(place * F.col("size") <= 2 * settings.texts_per_language)
         .withColumn("rank", rank)
         .filter(F.col("rank") <= settings.texts_per_language)
         .select(F.col(key).alias("picked_key"), F.col(lang).alias("picked_lang"))
