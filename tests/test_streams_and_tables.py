@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from tidemark.operators import aggregates, joins, latest, parse, windows
 from tidemark.plans.catalogue import QUERIES
+from tidemark.sources.csv import csv_messages, scan_csv
+from tidemark.sources.messages import MessageLog
 from tidemark.sources.tables import KeyedTable
 
 SMALL = "/root/testdata/sf0.001"
@@ -95,6 +97,55 @@ def test_upsert_is_idempotent_and_keeps_its_layout(spark, tmp_path):
     assert other.read().count() == 6
 
 
+def test_retention_by_age_and_number(spark, tmp_path):
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("t", T.LongType())])
+
+    def committed(name, seconds):
+        table = KeyedTable(spark, str(tmp_path / name), schema, "k", ["t"], buckets=2, keep=2, keep_seconds=seconds)
+        for t in range(4):
+            table.upsert(spark.createDataFrame([(1, t)] if t else [(i, 0) for i in range(6)], schema))
+        assert sorted(map(tuple, table.read().drop("bucket").collect())) == [(0, 0), (1, 3), *((i, 0) for i in range(2, 6))]
+        return table._snapshot_ids()
+
+    assert committed("young", 3600) == [0, 1, 2, 3]
+    assert committed("old", 0) == [2, 3]
+
+
+@pytest.mark.parametrize("split_bytes", ["16", "1000000"])
+def test_csv_rows_are_numbered_in_order_whatever_the_splits(spark, tmp_path, split_bytes):
+    for name, first in (("a", 0), ("b", 40)):
+        lines = [f"{'' if i % 3 else f'id{i}'},v{i}" for i in range(first, first + 40)]
+        (tmp_path / f"{name}.csv").write_text("\n".join(["\ufeffDOL Vehicle ID,VIN", *lines]) + "\n", encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        rows = csv_messages(scan_csv(spark, str(tmp_path)))
+        got = sorted((r.row_index, r.key, r.value) for r in rows.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = [(i + 1, str(i + 1) if i % 3 else f"id{i}", '{"dol_vehicle_id":"%s","vin":"v%d"}' % ("" if i % 3 else f"id{i}", i)) for i in range(80)]
+    assert got == want
+
+
+def test_csv_short_rows_line_breaks_and_limit(spark, tmp_path):
+    text = 'DOL Vehicle ID,County,Make\nx,"two\nlines",m\n,only\n\n"  ",c,"a ""b"", c"\n'
+    (tmp_path / "c.csv").write_text(text, encoding="utf-8")
+    rows = csv_messages(scan_csv(spark, str(tmp_path)))
+    assert sorted((r.key, r.value) for r in rows.collect()) == [
+        ("2", '{"dol_vehicle_id":"","county":"only"}'),
+        ("3", '{"dol_vehicle_id":"  ","county":"c","make":"a \\"b\\", c"}'),
+        ("x", '{"dol_vehicle_id":"x","county":"two\\nlines","make":"m"}'),
+    ]
+    assert csv_messages(scan_csv(spark, str(tmp_path)), 2).count() == 2
+
+
+def test_publishing_without_places_numbers_the_rows(spark, tmp_path):
+    log = MessageLog(spark, str(tmp_path / "log"))
+    rows = spark.range(0, 50, 1, 4).select(F.col("id").cast("string").alias("key"), F.lit("{}").alias("value"))
+    assert log.publish(rows, "t", limit=20) == 20 and log.publish(rows, "t", start=20) == 50
+    assert sorted(r.offset for r in log.read("t").collect()) == list(range(70))
+
+
 def test_stream_equals_batch(spark):
     streamed = QUERIES["stream_sliding"](spark, SMALL)
     batch = QUERIES["sliding_window_agg"](spark, SMALL)

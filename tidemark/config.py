@@ -29,6 +29,7 @@ class PipelineConfig:
     buckets: int = 32
     files_per_bucket: int = 1
     keep_snapshots: int = 10
+    keep_seconds: float = 3600
     max_files_per_trigger: int | None = None
     source_options: dict[str, str] = field(default_factory=dict)
 

@@ -14,6 +14,7 @@ from tidemark.config import PipelineConfig
 from tidemark.functions.lookup import field_by_name
 from tidemark.functions.messages import message_key, row_json
 from tidemark.functions.numeric import lenient_int, settled
+from tidemark.functions.text import BOM
 from tidemark.operators import aggregates, joins, latest, parse, windows
 from tidemark.plans.inputs import (
     EVENT_CUTS,
@@ -456,6 +457,26 @@ def csv_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(KEY, "vin", "county", "postal_code")
 
 
+@query
+def csv_row_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of CSV rows over many files: byte-order mark, line breaks in quotes, blank and missing identifiers."""
+    path = new_run_dir(spark, "csv-keys")
+    segment = F.col("c_mktsegment")
+    identifier = F.when(segment == "BUILDING", F.lit("  ")).when(segment != "MACHINERY", F.concat(F.lit(" "), F.col("c_name")))
+    rows = table(spark, sf_dir, "customer").repartitionByRange("c_custkey").sortWithinPartitions("c_custkey")
+    rows.select(
+        identifier.alias(f"{BOM}DOL Vehicle ID"),
+        F.col("c_custkey").alias("VIN (1-10)"),
+        F.concat(segment, F.lit("\nsecond line")).alias("County"),
+    ).write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    keyed = csv_messages(scan_csv(spark, path))
+    return keyed.select(
+        "key",
+        F.get_json_object("value", "$['vin_(1-10)']").cast("bigint").alias("c_custkey"),
+        F.get_json_object("value", "$.county").alias("county"),
+    )
+
+
 @query
 def topic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages per topic and in total after publishing both topics."""

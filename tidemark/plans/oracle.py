@@ -282,6 +282,12 @@ FROM customer
 SELECT CAST(c_custkey AS VARCHAR) AS dol_vehicle_id, c_name AS vin, 'a "quoted", ' || c_mktsegment AS county,
        CASE WHEN c_nationkey > 4 THEN CAST(c_nationkey AS VARCHAR) ELSE '' END AS postal_code
 FROM customer
+""",
+    "csv_row_keys": """
+SELECT CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY')
+            THEN CAST(ROW_NUMBER() OVER (ORDER BY c_custkey) AS VARCHAR) ELSE c_name END AS key,
+       CAST(c_custkey AS BIGINT) AS c_custkey, c_mktsegment || chr(10) || 'second line' AS county
+FROM customer
 """,
     "topic_counts": """
 SELECT 'location' AS topic, COUNT(*) AS messages FROM customer

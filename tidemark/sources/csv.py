@@ -2,26 +2,27 @@
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
-from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.messages import message_key, row_json
 from tidemark.functions.text import header_names
 from tidemark.schemas import KEY
+from tidemark.session import new_run_dir
 
 _RAW = "_raw_record"
 FIELD_COUNT = "_field_count"
 ROW_INDEX = "_row_index"
+SPLIT = "_split"
+_FILE, _START, _AT = "_split_file", "_split_start", "_split_at"
 
 
 @dataclass(frozen=True)
 class CsvScan:
-    """Rows of a CSV input: string columns plus the number of fields each record had."""
+    """Rows of a CSV input: string columns, the number of fields each record had, and its file split."""
 
     rows: DataFrame
     columns: list[str]
@@ -45,7 +46,9 @@ def scan_csv(
 
     Header names are normalised; all values are text and an empty field is an empty
     string. Only inputs with line breaks inside quotes need one task per file, so this is
-    looked up unless ``multi_line`` says it; everything else is read in splits.
+    looked up unless ``multi_line`` says it; everything else is read in splits. A lookup
+    costs one pass, and one such record makes every file a single task: say it for large
+    inputs, and cut files that hold such records at the source. Blank lines give no row.
     """
     if multi_line is None:
         multi_line = spans_lines(spark, path)
@@ -56,12 +59,13 @@ def scan_csv(
     count = F.when(F.col(_RAW).isNull(), F.lit(len(columns))).otherwise(
         F.least(_fields_in(F.col(_RAW)), F.lit(len(columns)))
     )
-    counted = rows.withColumn(FIELD_COUNT, count)
+    split = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    counted = rows.withColumn(FIELD_COUNT, count).withColumn(SPLIT, split)
     values = [
         F.when(F.col(FIELD_COUNT) > position, F.coalesce(F.col(f"`{name}`"), F.lit(""))).alias(name)
         for position, name in enumerate(columns)
     ]
-    return CsvScan(counted.select(*values, FIELD_COUNT), columns)
+    return CsvScan(counted.select(*values, FIELD_COUNT, SPLIT), columns)
 
 
 def _fields_in(record: Column) -> Column:
@@ -71,20 +75,33 @@ def _fields_in(record: Column) -> Column:
 
 
 def with_row_index(rows: DataFrame, name: str = ROW_INDEX) -> DataFrame:
-    """Number the rows of a scan from 1 in the order of its splits.
+    """Number the rows from 1: by file and place in the file where :func:`scan_csv` gave these, else by partition.
 
-    One pass counts the rows of each split; only these counts, one number per scan
-    task, come to the driver. The second pass adds each split's start to the position
-    within it. ``rows`` must be a scan without a shuffle, so that both passes see the
-    same splits.
+    The rows are written once to the shared folder, each with its task's running number;
+    counts and numbers both come from what was written, so it does not matter how often or
+    in which splits an input would be read. Starts are summed up within each file and then
+    over the files: one small row per file meets in one task.
     """
-    split = F.spark_partition_id()
-    sizes = {r["split"]: r["n"] for r in rows.groupBy(split.alias("split")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    last = max(sizes, default=-1)
-    starts = [0, *accumulate(sizes.get(i, 0) for i in range(last + 1))]
-    start_of = F.from_json(F.lit(json.dumps(starts)), "array<bigint>")
-    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return rows.withColumn(name, F.get(start_of, split) + position + 1)
+    spark = rows.sparkSession
+    split = F.col(SPLIT) if SPLIT in rows.columns else F.struct(F.lit("").alias("file"), F.spark_partition_id().cast("bigint").alias("start"))
+    path = new_run_dir(spark, "numbered-rows")
+    placed = rows.select(
+        *(f"`{c}`" for c in rows.columns if c != SPLIT),
+        split["file"].alias(_FILE),
+        split["start"].alias(_START),
+        F.monotonically_increasing_id().alias(_AT),
+    )
+    placed.write.parquet(path)
+    written = spark.read.schema(placed.schema).parquet(path)
+    splits = written.groupBy(_FILE, _START).agg(F.min(_AT).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    in_file = splits.withColumn("_before", F.coalesce(F.sum("_n").over(earlier.partitionBy(_FILE).orderBy(_START)), F.lit(0)))
+    files = splits.groupBy(_FILE).agg(F.sum("_n").alias("_n")).select(
+        _FILE, F.coalesce(F.sum("_n").over(earlier.orderBy(_FILE)), F.lit(0)).alias("_base")
+    )
+    starts = in_file.join(files, _FILE).select(_FILE, _START, (F.col("_base") + F.col("_before") - F.col("_first")).alias("_shift"))
+    numbered = written.join(starts, [_FILE, _START]).withColumn(name, F.col(_AT) + F.col("_shift") + 1)
+    return numbered.select(*(f"`{c}`" for c in rows.columns if c != SPLIT), name)
 
 
 def csv_messages(scan: CsvScan, limit: int = 0, key: str = KEY) -> DataFrame:

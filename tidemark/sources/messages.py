@@ -43,23 +43,23 @@ class MessageLog:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         return reader.parquet(self._topic_path(topic))
 
-    def publish(self, messages: DataFrame, topic: str, limit: int = 0) -> int:
+    def publish(self, messages: DataFrame, topic: str, limit: int = 0, start: int = 0) -> int:
         """Append messages (key, value and, if present, timestamp and row_index).
 
-        Offsets continue those of the topic in the order of ``row_index``, else in the
-        order of the input's splits. Returns the number of messages written.
+        ``row_index``, from 1, is the place of a message in its topic; without it the rows
+        are numbered in their order. ``start`` is added for inputs numbered apart from what
+        the topic holds already: it only settles ties of time, and nothing is looked up.
+        Returns the number of messages written.
         """
+        if "row_index" not in messages.columns:
+            messages = with_row_index(messages, "row_index")
         if limit > 0:
             messages = first_rows(messages, limit)
-        position = (
-            F.col("row_index") - 1 if "row_index" in messages.columns else F.monotonically_increasing_id()
-        )
         timestamp = F.col("timestamp") if "timestamp" in messages.columns else F.current_timestamp()
-        start = self.read(topic).agg(F.max("offset")).first()[0]
         key = F.col("key").cast("string")
         records = messages.select(
             F.pmod(F.hash(key), F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
-            (position + F.lit(0 if start is None else start + 1)).alias("offset"),
+            (F.col("row_index") - 1 + start).alias("offset"),
             timestamp.alias("timestamp"),
             key.cast("binary").alias("key"),
             F.col("value").cast("binary").alias("value"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass, field
 
@@ -24,7 +25,7 @@ class Snapshot:
 
     ``progress`` has, per streaming query, its last merged batch and the rows consumed
     so far; ``sources`` is free for tables derived from other tables. ``layout`` says
-    how rows were dealt out to the buckets.
+    how rows were dealt out to the buckets, ``committed`` when (seconds since 1970).
     """
 
     id: int
@@ -32,6 +33,7 @@ class Snapshot:
     progress: dict[str, dict] = field(default_factory=dict)
     sources: dict = field(default_factory=dict)
     layout: dict = field(default_factory=dict)
+    committed: float = 0.0
 
     def buckets(self) -> list[int]:
         return sorted(int(b) for b in self.versions)
@@ -49,14 +51,16 @@ class SnapshotTable:
     A commit writes the changed buckets into a new version folder and then creates one
     small snapshot file. Until that file exists readers see the previous state, and files
     of a state in use are never overwritten, so a lost driver or executor cannot damage
-    the table.
+    the table. The last ``keep`` snapshots stay, and all that were replaced less than
+    ``keep_seconds`` ago: no scan may take longer.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keep: int = 10):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keep: int = 10, keep_seconds: float = 3600):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.keep = keep
+        self.keep_seconds = keep_seconds
 
     @property
     def _snapshots(self) -> str:
@@ -127,23 +131,34 @@ class SnapshotTable:
             current.progress if progress is None else progress,
             current.sources if sources is None else sources,
             self.layout(),
+            time.time(),
         )
         fs.create_text(self.spark, f"{self._snapshots}/{version:010d}.json", json.dumps(asdict(committed)))
         self._drop_unused()
         return committed
 
     def _drop_unused(self) -> None:
-        """Remove snapshots beyond the kept ones and versions none of the kept ones use."""
+        """Remove snapshots that are neither recent nor among the last, and versions none of the others use.
+
+        A snapshot goes by the time of the one that replaced it. A bucket's version is never
+        taken up again once replaced, so of the older versions only those of the first
+        snapshot that stays are still in use.
+        """
         ids = self._snapshot_ids()
-        old, kept = ids[: -self.keep], ids[-self.keep :]
-        if not old:
+        limit = time.time() - self.keep_seconds
+        gone = 0
+        while gone < len(ids) - self.keep and self.snapshot(ids[gone + 1]).committed <= limit:
+            gone += 1
+        if not gone:
             return
-        used = {v for i in kept for v in self.snapshot(i).versions.values()}
-        for snapshot_id in old:
+        used = set(self.snapshot(ids[gone]).versions.values())
+        for snapshot_id in ids[:gone]:
             fs.delete(self.spark, f"{self._snapshots}/{snapshot_id:010d}.json")
         for name in fs.names(self.spark, self.path):
-            if name.startswith(f"{_VERSION}=") and int(name.removeprefix(f"{_VERSION}=")) not in used | set(kept):
-                fs.delete(self.spark, f"{self.path}/{name}")
+            if name.startswith(f"{_VERSION}="):
+                version = int(name.removeprefix(f"{_VERSION}="))
+                if version < ids[gone] and version not in used:
+                    fs.delete(self.spark, f"{self.path}/{name}")
 
 
 class KeyedTable(SnapshotTable):
@@ -159,8 +174,9 @@ class KeyedTable(SnapshotTable):
         buckets: int = 32,
         files_per_bucket: int = 1,
         keep: int = 10,
+        keep_seconds: float = 3600,
     ):
-        super().__init__(spark, path, schema, keep)
+        super().__init__(spark, path, schema, keep, keep_seconds)
         self.key = [key] if isinstance(key, str) else list(key)
         self.order = list(order)
         self.buckets = buckets

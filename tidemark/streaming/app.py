@@ -39,6 +39,7 @@ class VehicleTables:
             "buckets": config.buckets,
             "files_per_bucket": config.files_per_bucket,
             "keep": config.keep_snapshots,
+            "keep_seconds": config.keep_seconds,
         }
         self.location = KeyedTable(
             spark, config.table_path(config.location_table), LOCATION.table_schema, KEY, **sizes
