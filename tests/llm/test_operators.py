@@ -132,6 +132,28 @@ def test_paragraphs_catch_shared_passages_only(spark):
     assert any(r.kind == "paragraph" and r.removed and r.kept_key == 10 for r in rows if r.doc_id == 11)
 
 
+def test_short_lines_and_wrapped_paragraphs_are_units(spark):
+    rnd = random.Random(15)
+    docs = {i: prose(rnd, 60) for i in range(8)}
+    docs[1] += "\nsubscribe to our weekly news letter today please"
+    docs[2] += "\nSubscribe  to our weekly news letter today please"
+    docs[3] += "\nRead more"
+    docs[4] += "\n\nread more\n"
+    # Near-equal when taken whole, wrapped differently, no line of 20 words in common.
+    body = prose(rnd, 72).split()
+    wrapped = [" ".join(body[i : i + 9]) for i in range(0, 72, 9)]
+    docs[5] += "\n\n" + "\n".join(wrapped)
+    body[36] = "changed"
+    docs[6] += "\n \t\n" + "\r\n".join(" ".join(body[i : i + 12]) for i in range(0, 72, 12))
+    # A line that is nearly all of its own paragraph is not a repeat of it.
+    docs[7] += "\n\nshort head\n" + prose(rnd, 80)
+    rows = paragraph_dedup.repeated_units(spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")).collect()
+    got = {(r.doc_id, r.first_word, r.end_word, r.kept_key, r.removed) for r in rows if r.kind == "paragraph"}
+    assert got >= {(1, 60, 68, 1, False), (2, 60, 68, 1, True), (3, 60, 62, 3, False), (4, 60, 62, 3, True)}
+    assert got >= {(5, 60, 132, 5, False), (6, 60, 132, 5, True)}
+    assert not any(r.removed for r in rows if r.doc_id == 7)
+
+
 def test_pii_base_spans_and_redaction(docs, texts):
     found = pii.with_candidates(docs, "spans").cache()
     model = pii.train_classifier(found, "spans")

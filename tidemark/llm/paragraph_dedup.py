@@ -1,15 +1,17 @@
 """Repeated paragraphs and passages, by MinHash banding and connected components.
 
-Two kinds of units are looked at. A paragraph is a line of at least ``min_words`` words;
-its MinHash values go into bands tuned for high recall, and paragraphs that collide are
-compared by the exact Jaccard coefficient of their word n-grams. A passage is a run of
+Two kinds of units are looked at. A paragraph is a line, or the lines between two blank
+ones; its MinHash values go into bands tuned for high recall, and paragraphs that collide
+are compared by the exact Jaccard coefficient of their word n-grams. Those of fewer than
+``min_words`` words are found by a key of all their words. A passage is a run of
 ``passage_words`` words anywhere in a text, at places that the words themselves choose:
 where the hash of three words is least among ``spacing`` neighbours. Any text shared word
 for word over passage_words + spacing - 1 words (51 as set) holds at least one common
 passage, wherever it stands; equal passages are found by a hash and verified by a longer one.
 
 Verified links make components; of each, the first unit stays and the others are removed.
-Texts that are wholly equal are treated as one, and the later ones removed whole. Units
+A paragraph that shares words with the kept one (a line of it, or it a line of this one)
+stays too. Texts that are wholly equal are treated as one, and the later ones removed whole. Units
 of a group are compared where they meet and pairs are never emitted.
 
 Words are runs of characters other than white space, A-Z as a-z. Null texts have no units.
@@ -35,10 +37,11 @@ from tidemark.llm.workspace import materialize
 @dataclass(frozen=True)
 class ParagraphSettings:
     """``bands`` of ``band_rows`` MinHash values: two paragraphs of similarity s collide with
-    probability 1 - (1 - s**band_rows)**bands, 0.998 at 0.8 as set here.
+    probability 1 - (1 - s**band_rows)**bands, 0.998 at 0.8 as set here. Paragraphs of
+    fewer than ``min_words`` (not under ``shingle_words``) words must be equal.
     """
 
-    min_words: int = 20
+    min_words: int = 5
     shingle_words: int = 5
     threshold: float = 0.8
     bands: int = 9
@@ -49,7 +52,7 @@ class ParagraphSettings:
     seed: int = 5
 
 
-UNITS = "struct<passage_first:array<int>,passage_key:array<bigint>,par_first:array<int>,par_end:array<int>,par_bands:array<bigint>,n_words:int>"
+UNITS = "struct<passage_first:array<int>,passage_key:array<bigint>,par_first:array<int>,par_end:array<int>,par_bands:array<array<bigint>>,n_words:int>"
 
 
 def _sliding(values: np.ndarray, width: int, least) -> np.ndarray:
@@ -97,11 +100,8 @@ def _units(texts: list[bytes], settings: ParagraphSettings) -> list[dict]:
     cut = np.searchsorted(place, first)
     # Paragraphs: the line of each word, counted over all texts.
     line = np.cumsum(data == 10)[starts] if len(starts) else np.zeros(0, dtype=np.int64)
-    head = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else line
-    tail = np.append(head[1:], len(line)) if len(line) else line
-    long = tail - head >= settings.min_words
-    head, tail = head[long], tail[long]
-    bands = _bands(words, head, tail, settings)
+    head, tail = _paragraphs(line, doc)
+    bands = _keys(words, head, tail, settings)
     par_cut = np.searchsorted(head, first)
     out = []
     for i in range(len(texts)):
@@ -112,13 +112,45 @@ def _units(texts: list[bytes], settings: ParagraphSettings) -> list[dict]:
                 "passage_key": key[a:b].tolist(),
                 "par_first": (head[c:d] - base).tolist(),
                 "par_end": (tail[c:d] - base).tolist(),
-                "par_bands": bands[c:d].ravel().tolist(),
+                "par_bands": bands[c:d],
                 "n_words": int(first[i + 1] - base),
             }
         )
     return out
 
 
+def _paragraphs(line: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ends of the lines that have words and of the groups of several of them without a blank line between."""
+    if not len(line):
+        return line, line
+    step = np.diff(line)
+    head = np.append(0, np.flatnonzero(step > 0) + 1)
+    tail = np.append(head[1:], len(line))
+    begin = np.append(0, np.flatnonzero((step > 1) | (doc[1:] != doc[:-1])) + 1)
+    end = np.append(begin[1:], len(line))
+    several = line[begin] != line[end - 1]
+    head, tail = np.append(head, begin[several]), np.append(tail, end[several])
+    order = np.lexsort((tail, head))
+    return head[order], tail[order]
+
+
+def _keys(words: np.ndarray, head: np.ndarray, tail: np.ndarray, settings: ParagraphSettings) -> list[list[int]]:
+    """Bucket keys of the paragraphs [head, tail): the bands, or one of all words if there are few."""
+    size = tail - head
+    least = max(settings.min_words, settings.shingle_words)
+    out = np.empty(len(head), dtype=object)
+    long = np.flatnonzero(size >= least)
+    for at, bands in zip(long.tolist(), _bands(words, head[long], tail[long], settings).tolist()):
+        out[at] = bands
+    for width in range(1, least):
+        short = np.flatnonzero(size == width)
+        if len(short):
+            keys = mix64(shingle_hashes(words, width)[head[short]] + np.uint64(width)).astype(np.int64)
+            for at, key in zip(short.tolist(), keys.tolist()):
+                out[at] = [key]
+    return out.tolist()
+
+
 def _bands(words: np.ndarray, head: np.ndarray, tail: np.ndarray, settings: ParagraphSettings) -> np.ndarray:
     """Band keys of the paragraphs [head, tail), one row each."""
     if not len(head):
@@ -145,7 +177,8 @@ def _details(texts: list[bytes], firsts: list[list[int]], ends: list[list[int]],
         for a, b, kind in zip(firsts[i], ends[i], kinds[i]):
             low, high = begin[i] + a, begin[i] + b
             digest = hashlib.blake2b(words[low:high].tobytes(), digest_size=16).digest()
-            grams = np.unique(shingles[low : high - settings.shingle_words + 1]).astype(np.int64).tolist() if kind == "paragraph" else []
+            banded = kind == "paragraph" and b - a >= max(settings.min_words, settings.shingle_words)
+            grams = np.unique(shingles[low : high - settings.shingle_words + 1]).astype(np.int64).tolist() if banded else []
             own.append({"high": int.from_bytes(digest[:8], "big", signed=True), "low": int.from_bytes(digest[8:], "big", signed=True), "grams": grams})
         out.append(own)
     return out
@@ -153,7 +186,7 @@ def _details(texts: list[bytes], firsts: list[list[int]], ends: list[list[int]],
 
 def _unit_columns(text, settings: ParagraphSettings):
     ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
-    kind = pa.struct([("passage_first", ints), ("passage_key", longs), ("par_first", ints), ("par_end", ints), ("par_bands", longs), ("n_words", pa.int32())])
+    kind = pa.struct([("passage_first", ints), ("passage_key", longs), ("par_first", ints), ("par_end", ints), ("par_bands", pa.list_(longs)), ("n_words", pa.int32())])
 
     @F.arrow_udf(UNITS)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -231,8 +264,8 @@ def repeated_units(docs: DataFrame, settings: ParagraphSettings = ParagraphSetti
     passage = single.select("row", F.explode(F.arrays_zip("u.passage_first", "u.passage_key")).alias("p")).select(
         "row", F.col("p.passage_first").cast("bigint").alias("slot"), F.xxhash64("p.passage_key", F.lit("passage")).alias("bucket")
     )
-    band = single.select("row", F.posexplode("u.par_bands").alias("at", "bucket"))
-    paragraph = band.select("row", (-1 - F.floor(F.col("at") / settings.bands)).cast("bigint").alias("slot"), "bucket")
+    band = single.select("row", F.posexplode("u.par_bands").alias("at", "buckets"))
+    paragraph = band.select("row", (-1 - F.col("at")).cast("bigint").alias("slot"), F.explode("buckets").alias("bucket"))
     units = passage.unionAll(paragraph)
     sizes = units.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("bucket")
     live = materialize(units.join(sizes, "bucket").groupBy("row", "slot").agg(F.collect_list("bucket").alias("buckets")), "paragraph-live")
@@ -260,7 +293,7 @@ def repeated_units(docs: DataFrame, settings: ParagraphSettings = ParagraphSetti
 
     contents = verified.groupBy("kind", "high", "low").agg(F.min("unit").alias("unit"), F.count(F.lit(1)).alias("n"))
     contents = materialize(contents, "paragraph-contents")
-    reps = verified.filter("kind = 'paragraph'").join(contents.select("unit"), "unit", "left_semi").select("unit", "grams", F.explode("buckets").alias("bucket"))
+    reps = verified.filter("kind = 'paragraph' and size(grams) > 0").join(contents.select("unit"), "unit", "left_semi").select("unit", "grams", F.explode("buckets").alias("bucket"))
     sizes = reps.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     links = meet(reps.join(sizes, "bucket"), "bucket", "size", "unit").mapInArrow(lambda b: _compare(b, settings), "u bigint, v bigint")
     linked = connected_components(links, "paragraph-clusters").withColumnRenamed("node", "unit")
@@ -268,12 +301,14 @@ def repeated_units(docs: DataFrame, settings: ParagraphSettings = ParagraphSetti
     totals = clusters.groupBy("cluster").agg(F.sum("n").alias("n")).filter("n > 1")
     clusters = materialize(clusters.drop("n").join(totals, "cluster").drop("n"), "paragraph-repeats")
 
-    place = F.struct(F.col("key").isNull().alias("none"), "key", "row", "first")
+    place = F.struct(F.col("key").isNull().alias("none"), "key", "row", "first", "end")
+    # A line and the paragraph around it can be similar: neither is a repeat of the other.
+    nested = (F.col("kind") == "paragraph") & (F.col("first") < F.col("kept.end")) & (F.col("end") > F.col("kept.first"))
     members = verified.select("kind", "high", "low", "row", "key", "first", "end").join(clusters, ["kind", "high", "low"])
     keepers = members.groupBy("cluster").agg(F.min(place).alias("kept"))
     spans = members.join(keepers, "cluster").select(
         F.col("key").alias(key), "kind", F.col("first").alias("first_word"), F.col("end").alias("end_word"), F.col("kept.key").alias("kept_key"), F.col("kept.first").alias("kept_first_word"),
-        ((F.col("row") != F.col("kept.row")) | (F.col("first") != F.col("kept.first"))).alias("removed"),
+        ((F.col("row") != F.col("kept.row")) | ((F.col("first") != F.col("kept.first")) & ~nested)).alias("removed"),
     )
     copies = rows.select("row", "key", "same", "u.n_words").join(chosen.filter("copies > 1").withColumnRenamed("row", "kept_row"), "same").select(
         F.col("key").alias(key), F.lit("text").alias("kind"), F.lit(0).alias("first_word"), F.col("n_words").alias("end_word"), "kept_key", F.lit(0).alias("kept_first_word"), (F.col("row") != F.col("kept_row")).alias("removed"),
