@@ -132,6 +132,23 @@ def test_paragraphs_catch_shared_passages_only(spark):
     assert any(r.kind == "paragraph" and r.removed and r.kept_key == 10 for r in rows if r.doc_id == 11)
 
 
+def test_passages_repeated_within_a_text(spark):
+    rnd = random.Random(16)
+    settings = paragraph_dedup.ParagraphSettings()
+    for _ in range(40):
+        run = prose(rnd, 51).split()
+        joined = " ".join(run[:34]).encode()
+        hashes = paragraph_dedup.shingle_hashes(paragraph_dedup._layout([joined])[2], settings.anchor_words)
+        least = int(np.argmin(hashes))
+        texts = [prose(rnd, 60).split() + run + prose(rnd, 60).split(), prose(rnd, 60).split() + run[least : least + 3] + run + prose(rnd, 60).split()]
+        one, two = paragraph_dedup._units([" ".join(t).encode() for t in texts], settings)
+        assert set(one["passage_key"]) & set(two["passage_key"])
+    phrase = prose(rnd, 30)
+    rows = paragraph_dedup.repeated_units(spark.createDataFrame([(1, " ".join([phrase] * 100))], "doc_id bigint, text string")).collect()
+    gone = set().union(*(range(r.first_word, r.end_word) for r in rows if r.kind == "passage" and r.removed))
+    assert len(gone) >= 98 * 20 and not gone & set(range(30))
+
+
 def test_short_lines_and_wrapped_paragraphs_are_units(spark):
     rnd = random.Random(15)
     docs = {i: prose(rnd, 60) for i in range(8)}

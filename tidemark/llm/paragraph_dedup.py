@@ -52,7 +52,8 @@ class ParagraphSettings:
     seed: int = 5
 
 
-UNITS = "struct<passage_first:array<int>,passage_key:array<bigint>,par_first:array<int>,par_end:array<int>,par_bands:array<array<bigint>>,n_words:int>"
+#: ``passage_first`` holds the places of each distinct key side by side: ``passage_n`` of them from ``passage_at``.
+UNITS = "struct<passage_first:array<int>,passage_key:array<bigint>,passage_at:array<int>,passage_n:array<int>,par_first:array<int>,par_end:array<int>,par_bands:array<array<bigint>>,n_words:int>"
 
 
 def _sliding(values: np.ndarray, width: int, least) -> np.ndarray:
@@ -75,11 +76,7 @@ def _anchors(words: np.ndarray, doc: np.ndarray, settings: ParagraphSettings) ->
     low[doc[: len(low)] != doc[last]] = 0
     edge = np.zeros(width - 1, dtype=np.uint64)
     high = _sliding(np.concatenate([edge, low, edge]), width, np.maximum)
-    found = np.flatnonzero((high == hashes) & (hashes > 0))
-    # In a run of repeats the same hash is least again and again: the first is enough.
-    fresh = np.ones(len(found), dtype=bool)
-    fresh[1:] = (hashes[found[1:]] != hashes[found[:-1]]) | (doc[found[1:]] != doc[found[:-1]])
-    return found[fresh]
+    return np.flatnonzero((high == hashes) & (hashes > 0))
 
 
 def _layout(texts: list[bytes]):
@@ -97,7 +94,14 @@ def _units(texts: list[bytes], settings: ParagraphSettings) -> list[dict]:
     place = _anchors(words, doc, settings)
     place = place[place + settings.passage_words <= first[1:][doc[place]]] if len(place) else place
     key = shingle_hashes(words, settings.passage_words)[place].astype(np.int64) if len(place) else np.zeros(0, dtype=np.int64)
-    cut = np.searchsorted(place, first)
+    # Equal ones of a text side by side: only their number goes through the shuffles.
+    owner = doc[place]
+    order = np.lexsort((place, key, owner))
+    place, key, owner = place[order], key[order], owner[order]
+    head_at = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]))) if len(place) else place
+    size = np.diff(np.append(head_at, len(place)))
+    every, some = np.arange(len(texts) + 1), owner[head_at]
+    cut, key_cut = np.searchsorted(owner, every), np.searchsorted(some, every)
     # Paragraphs: the line of each word, counted over all texts.
     line = np.cumsum(data == 10)[starts] if len(starts) else np.zeros(0, dtype=np.int64)
     head, tail = _paragraphs(line, doc)
@@ -106,10 +110,13 @@ def _units(texts: list[bytes], settings: ParagraphSettings) -> list[dict]:
     out = []
     for i in range(len(texts)):
         a, b, c, d, base = cut[i], cut[i + 1], par_cut[i], par_cut[i + 1], first[i]
+        e, f = key_cut[i], key_cut[i + 1]
         out.append(
             {
                 "passage_first": (place[a:b] - base).tolist(),
-                "passage_key": key[a:b].tolist(),
+                "passage_key": key[head_at[e:f]].tolist(),
+                "passage_at": (head_at[e:f] - a).tolist(),
+                "passage_n": size[e:f].tolist(),
                 "par_first": (head[c:d] - base).tolist(),
                 "par_end": (tail[c:d] - base).tolist(),
                 "par_bands": bands[c:d],
@@ -186,7 +193,7 @@ def _details(texts: list[bytes], firsts: list[list[int]], ends: list[list[int]],
 
 def _unit_columns(text, settings: ParagraphSettings):
     ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
-    kind = pa.struct([("passage_first", ints), ("passage_key", longs), ("par_first", ints), ("par_end", ints), ("par_bands", pa.list_(longs)), ("n_words", pa.int32())])
+    kind = pa.struct([("passage_first", ints), ("passage_key", longs), ("passage_at", ints), ("passage_n", ints), ("par_first", ints), ("par_end", ints), ("par_bands", pa.list_(longs)), ("n_words", pa.int32())])
 
     @F.arrow_udf(UNITS)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -259,29 +266,30 @@ def repeated_units(docs: DataFrame, settings: ParagraphSettings = ParagraphSetti
     chosen = materialize(chosen, "paragraph-texts")
     single = rows.join(chosen.select("row"), "row", "left_semi")
 
-    # A unit is its text's row and a slot: the first word of a passage, or -1 less the
+    # A unit is its text's row and a slot: the number of a passage key, or -1 less the
     # number of a paragraph. Rows this narrow are what the two large shuffles carry.
-    passage = single.select("row", F.explode(F.arrays_zip("u.passage_first", "u.passage_key")).alias("p")).select(
-        "row", F.col("p.passage_first").cast("bigint").alias("slot"), F.xxhash64("p.passage_key", F.lit("passage")).alias("bucket")
+    passage = single.select("row", F.posexplode(F.arrays_zip("u.passage_key", "u.passage_n")).alias("at", "p")).select(
+        "row", F.col("at").cast("bigint").alias("slot"), F.xxhash64("p.passage_key", F.lit("passage")).alias("bucket"), F.col("p.passage_n").alias("n")
     )
     band = single.select("row", F.posexplode("u.par_bands").alias("at", "buckets"))
-    paragraph = band.select("row", (-1 - F.col("at")).cast("bigint").alias("slot"), F.explode("buckets").alias("bucket"))
+    paragraph = band.select("row", (-1 - F.col("at")).cast("bigint").alias("slot"), F.explode("buckets").alias("bucket"), F.lit(1).alias("n"))
     units = passage.unionAll(paragraph)
-    sizes = units.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("bucket")
-    live = materialize(units.join(sizes, "bucket").groupBy("row", "slot").agg(F.collect_list("bucket").alias("buckets")), "paragraph-live")
+    sizes = units.groupBy("bucket").agg(F.sum("n").alias("size")).filter("size > 1").select("bucket")
+    live = materialize(units.drop("n").join(sizes, "bucket").groupBy("row", "slot").agg(F.collect_list("bucket").alias("buckets")), "paragraph-live")
 
     def placed(unit):
         number = (-1 - unit["slot"]).cast("int")
-        return F.struct(
-            F.when(unit["slot"] < 0, "paragraph").otherwise("passage").alias("kind"),
-            F.when(unit["slot"] < 0, F.get("par_first", number)).otherwise(unit["slot"].cast("int")).alias("first"),
-            F.when(unit["slot"] < 0, F.get("par_end", number)).otherwise((unit["slot"] + settings.passage_words).cast("int")).alias("end"),
-            unit["buckets"].alias("buckets"),
+        one = F.array(F.struct(F.lit("paragraph").alias("kind"), F.get("par_first", number).alias("first"), F.get("par_end", number).alias("end"), unit["buckets"].alias("buckets")))
+        key = unit["slot"].cast("int")
+        places = F.transform(
+            F.slice("passage_first", F.get("passage_at", key) + 1, F.get("passage_n", key)),
+            lambda p: F.struct(F.lit("passage").alias("kind"), p.alias("first"), (p + settings.passage_words).alias("end"), F.lit(None).cast("array<bigint>").alias("buckets")),
         )
+        return F.when(unit["slot"] < 0, one).otherwise(places)
 
     asked = live.groupBy("row").agg(F.collect_list(F.struct("slot", "buckets")).alias("slots"))
-    asked = asked.join(rows.select("row", F.col("key").alias("key_"), F.col("same").alias("same_"), "u.par_first", "u.par_end"), "row")
-    asked = asked.select("row", "key_", "same_", F.transform("slots", placed).alias("units"))
+    asked = asked.join(rows.select("row", F.col("key").alias("key_"), F.col("same").alias("same_"), "u.*"), "row")
+    asked = asked.select("row", "key_", "same_", F.flatten(F.transform("slots", placed)).alias("units"))
     bodies = docs.select(F.col(key).alias("key"), same.alias("same"), F.col(text).alias("body"))
     found = bodies.join(asked, (F.col("same") == F.col("same_")) & F.col("key").eqNullSafe(F.col("key_"))).dropDuplicates(["same", "key"])
     detailed = found.select("row", "key", "units", _detail_columns(F.col("body"), F.col("units"), settings).alias("details"))
