@@ -149,6 +149,24 @@ def test_passages_repeated_within_a_text(spark):
     assert len(gone) >= 98 * 20 and not gone & set(range(30))
 
 
+def test_passages_are_as_long_as_the_repeat(spark):
+    rnd = random.Random(17)
+    docs, want = {}, {}
+    for i in range(12):
+        run = prose(rnd, 51 + 13 * i).split()
+        if i % 3 == 2:
+            docs[2 * i + 1], docs[2 * i] = " ".join(["left", *prose(rnd, 9 * i).split(), *run]), " ".join(run + ["right"])
+            want[2 * i + 1] = (1 + 9 * i, len(docs[2 * i + 1].split()), 0)
+        else:
+            docs[2 * i] = " ".join([*prose(rnd, 70).split(), "one", *run, "two", *prose(rnd, 80).split()])
+            docs[2 * i + 1] = " ".join([*prose(rnd, 40).split(), "three", *run, "four", *prose(rnd, 10).split()])
+            want[2 * i + 1] = (41, 41 + len(run), 71)
+    rows = paragraph_dedup.repeated_units(spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")).collect()
+    got = {r.doc_id: (r.first_word, r.end_word, r.kept_first_word) for r in rows if r.kind == "passage" and r.removed}
+    assert got == want and sum(r.kind == "passage" and r.removed for r in rows) == len(want)
+    assert {(r.doc_id, r.first_word, r.end_word) for r in rows if r.kind == "passage" and not r.removed} == {(i - 1, k, k + b - a) for i, (a, b, k) in want.items()}
+
+
 def test_short_lines_and_wrapped_paragraphs_are_units(spark):
     rnd = random.Random(15)
     docs = {i: prose(rnd, 60) for i in range(8)}

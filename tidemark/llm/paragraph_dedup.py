@@ -8,6 +8,7 @@ are compared by the exact Jaccard coefficient of their word n-grams. Those of fe
 where the hash of three words is least among ``spacing`` neighbours. Any text shared word
 for word over passage_words + spacing - 1 words (51 as set) holds at least one common
 passage, wherever it stands; equal passages are found by a hash and verified by a longer one.
+A repeated passage is reported with the words around it that equal those around the kept one.
 
 Verified links make components; of each, the first unit stays and the others are removed.
 A paragraph that shares words with the kept one (a line of it, or it a line of this one)
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
@@ -175,9 +176,15 @@ def _bands(words: np.ndarray, head: np.ndarray, tail: np.ndarray, settings: Para
 
 
 def _details(texts: list[bytes], firsts: list[list[int]], ends: list[list[int]], kinds: list[list[str]], settings: ParagraphSettings) -> list[list[dict]]:
-    """For units of each text: a 128-bit key of the words, and a paragraph's distinct n-grams."""
+    """For units of each text: a 128-bit key of the words, and a paragraph's distinct n-grams.
+
+    For passages also the words before and after, nearest first, as 32 bits of their hashes:
+    a shared run goes on for less than ``spacing`` words beyond its outermost anchors.
+    """
     _, _, words, begin, _ = _layout(texts)
     shingles = shingle_hashes(words, settings.shingle_words)
+    short = (words >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    around = settings.spacing - 1
     out = []
     for i in range(len(texts)):
         own = []
@@ -186,7 +193,10 @@ def _details(texts: list[bytes], firsts: list[list[int]], ends: list[list[int]],
             digest = hashlib.blake2b(words[low:high].tobytes(), digest_size=16).digest()
             banded = kind == "paragraph" and b - a >= max(settings.min_words, settings.shingle_words)
             grams = np.unique(shingles[low : high - settings.shingle_words + 1]).astype(np.int64).tolist() if banded else []
-            own.append({"high": int.from_bytes(digest[:8], "big", signed=True), "low": int.from_bytes(digest[8:], "big", signed=True), "grams": grams})
+            own.append({"high": int.from_bytes(digest[:8], "big", signed=True), "low": int.from_bytes(digest[8:], "big", signed=True), "grams": grams, "before": None, "after": None})
+            if kind == "passage":
+                own[-1]["before"] = short[max(begin[i], low - around) : low][::-1].tolist()
+                own[-1]["after"] = short[high : min(begin[i + 1], high + around)].tolist()
         out.append(own)
     return out
 
@@ -208,9 +218,10 @@ def _unit_columns(text, settings: ParagraphSettings):
 
 
 def _detail_columns(text, units, settings: ParagraphSettings):
-    detail = pa.struct([("high", pa.int64()), ("low", pa.int64()), ("grams", pa.list_(pa.int64()))])
+    ints = pa.list_(pa.int32())
+    detail = pa.struct([("high", pa.int64()), ("low", pa.int64()), ("grams", pa.list_(pa.int64())), ("before", ints), ("after", ints)])
 
-    @F.arrow_udf("array<struct<high:bigint,low:bigint,grams:array<bigint>>>")
+    @F.arrow_udf("array<struct<high:bigint,low:bigint,grams:array<bigint>,before:array<int>,after:array<int>>>")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for body, unit in batches:
             texts, asked = body.to_pylist(), unit.to_pylist()
@@ -246,12 +257,46 @@ def _compare(batches: Iterator[pa.RecordBatch], settings: ParagraphSettings) ->
             yield pa.RecordBatch.from_arrays([pa.array(member[moved]), pa.array(member[labels[moved]])], ["u", "v"])
 
 
+def _runs(again: DataFrame, words: DataFrame) -> DataFrame:
+    """Repeated passages as runs that equal the kept row ``shift`` words earlier, as long as they go.
+
+    Passages that overlap at the same shift are one run. Its first and last one are
+    prolonged by the equal words around, and runs that then meet are one.
+    """
+    same = ["row", "kept_row", "shift"]
+    order = Window.partitionBy(*same).orderBy("first", "end")
+    ends = again.withColumn("opens", F.coalesce(F.lag("end").over(order) < F.col("first"), F.lit(True))).withColumn("closes", F.coalesce(F.lead("first").over(order) > F.col("end"), F.lit(True)))
+    # Inside a run the words around are those of the neighbours.
+    ends = ends.withColumn("run", F.sum(F.col("opens").cast("int")).over(order)).filter("opens or closes")
+    own = words.join(ends, "unit").drop("unit")
+    other = words.select(F.col("unit").alias("kept_unit"), F.col("before").alias("kept_before"), F.col("after").alias("kept_after"))
+
+    def equal(left: str, right: str):
+        both = F.zip_with(left, right, lambda a, b: F.coalesce(a == b, F.lit(False)))
+        stop = F.array_position(both, False).cast("int")
+        return F.when(stop == 0, F.size(both)).otherwise(stop - 1)
+
+    longer = own.join(other, "kept_unit").select(
+        *same, "run", "key", "kept_key", (F.col("first") - F.when(F.col("opens"), equal("before", "kept_before")).otherwise(0)).alias("first"),
+        (F.col("end") + F.when(F.col("closes"), equal("after", "kept_after")).otherwise(0)).alias("end"),
+    )
+
+    def joined(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*same, "run").agg(F.first("key").alias("key"), F.first("kept_key").alias("kept_key"), F.min("first").alias("first"), F.max("end").alias("end"))
+
+    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    numbered = joined(longer).withColumn("fresh", F.coalesce(reached < F.col("first"), F.lit(True))).withColumn("run", F.sum(F.col("fresh").cast("int")).over(order))
+    return joined(numbered).drop("run")
+
+
 def repeated_units(docs: DataFrame, settings: ParagraphSettings = ParagraphSettings(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every unit that occurs more than once, in its text: where it stands and what becomes of it.
 
     Columns: key, kind (text, paragraph or passage), first_word, end_word, kept_key,
     kept_first_word, removed. The kept unit of a cluster is the one of least key, then
-    of least place; it has a row too, not removed. Copies of a whole text have one row of
+    of least place; it has a row too, not removed. A passage is as long as it equals the
+    kept text at the same distance, and has a row for each kept text; the kept side has
+    a row for each different extent. Copies of a whole text have one row of
     kind text each. A text without repeats has no row.
     """
     same = F.unhex(F.md5(F.col(text).cast("binary")))
@@ -295,7 +340,7 @@ def repeated_units(docs: DataFrame, settings: ParagraphSettings = ParagraphSetti
     detailed = found.select("row", "key", "units", _detail_columns(F.col("body"), F.col("units"), settings).alias("details"))
     verified = detailed.select("row", "key", F.explode(F.arrays_zip("units", "details")).alias("x"))
     verified = materialize(
-        verified.select(F.monotonically_increasing_id().alias("unit"), "row", "key", "x.units.kind", "x.units.first", "x.units.end", "x.units.buckets", "x.details.high", "x.details.low", "x.details.grams"),
+        verified.select(F.monotonically_increasing_id().alias("unit"), "row", "key", "x.units.kind", "x.units.first", "x.units.end", "x.units.buckets", "x.details.high", "x.details.low", "x.details.grams", "x.details.before", "x.details.after"),
         "paragraph-verified",
     )
 
@@ -309,16 +354,27 @@ def repeated_units(docs: DataFrame, settings: ParagraphSettings = ParagraphSetti
     totals = clusters.groupBy("cluster").agg(F.sum("n").alias("n")).filter("n > 1")
     clusters = materialize(clusters.drop("n").join(totals, "cluster").drop("n"), "paragraph-repeats")
 
-    place = F.struct(F.col("key").isNull().alias("none"), "key", "row", "first", "end")
+    place = F.struct(F.col("key").isNull().alias("none"), "key", "row", "first", "end", "unit")
     # A line and the paragraph around it can be similar: neither is a repeat of the other.
     nested = (F.col("kind") == "paragraph") & (F.col("first") < F.col("kept.end")) & (F.col("end") > F.col("kept.first"))
-    members = verified.select("kind", "high", "low", "row", "key", "first", "end").join(clusters, ["kind", "high", "low"])
+    members = verified.select("kind", "high", "low", "row", "key", "first", "end", "unit").join(clusters, ["kind", "high", "low"])
     keepers = members.groupBy("cluster").agg(F.min(place).alias("kept"))
-    spans = members.join(keepers, "cluster").select(
+    placed_members = members.join(keepers, "cluster")
+    spans = placed_members.filter("kind = 'paragraph'").select(
         F.col("key").alias(key), "kind", F.col("first").alias("first_word"), F.col("end").alias("end_word"), F.col("kept.key").alias("kept_key"), F.col("kept.first").alias("kept_first_word"),
         ((F.col("row") != F.col("kept.row")) | ((F.col("first") != F.col("kept.first")) & ~nested)).alias("removed"),
     )
+    again = placed_members.filter((F.col("kind") == "passage") & (F.col("unit") != F.col("kept.unit"))).select(
+        "row", "key", "unit", "first", "end", F.col("kept.row").alias("kept_row"), F.col("kept.key").alias("kept_key"), F.col("kept.unit").alias("kept_unit"), (F.col("first") - F.col("kept.first")).alias("shift")
+    )
+    runs = materialize(_runs(again, verified.filter("kind = 'passage'").select("unit", "before", "after")), "paragraph-runs")
+    passages = runs.select(
+        F.col("key").alias(key), F.lit("passage").alias("kind"), F.col("first").alias("first_word"), F.col("end").alias("end_word"), "kept_key", (F.col("first") - F.col("shift")).alias("kept_first_word"), F.lit(True).alias("removed"),
+    )
+    kept = runs.select("kept_row", "kept_key", (F.col("first") - F.col("shift")).alias("first"), (F.col("end") - F.col("shift")).alias("end")).distinct().select(
+        F.col("kept_key").alias(key), F.lit("passage").alias("kind"), F.col("first").alias("first_word"), F.col("end").alias("end_word"), "kept_key", F.col("first").alias("kept_first_word"), F.lit(False).alias("removed"),
+    )
     copies = rows.select("row", "key", "same", "u.n_words").join(chosen.filter("copies > 1").withColumnRenamed("row", "kept_row"), "same").select(
         F.col("key").alias(key), F.lit("text").alias("kind"), F.lit(0).alias("first_word"), F.col("n_words").alias("end_word"), "kept_key", F.lit(0).alias("kept_first_word"), (F.col("row") != F.col("kept_row")).alias("removed"),
     )
-    return spans.unionByName(copies)
+    return spans.unionByName(passages).unionByName(kept).unionByName(copies)
