@@ -346,9 +346,14 @@ def repeated_units(docs: DataFrame, settings: ParagraphSettings = ParagraphSetti
 
     contents = verified.groupBy("kind", "high", "low").agg(F.min("unit").alias("unit"), F.count(F.lit(1)).alias("n"))
     contents = materialize(contents, "paragraph-contents")
-    reps = verified.filter("kind = 'paragraph' and size(grams) > 0").join(contents.select("unit"), "unit", "left_semi").select("unit", "grams", F.explode("buckets").alias("bucket"))
-    sizes = reps.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    links = meet(reps.join(sizes, "bucket"), "bucket", "size", "unit").mapInArrow(lambda b: _compare(b, settings), "u bigint, v bigint")
+    banded = verified.filter("kind = 'paragraph' and size(grams) > 0").join(contents.filter("kind = 'paragraph'").select("unit"), "unit", "left_semi")
+    # Buckets of the same members are one: the n-grams are sent there once.
+    members = banded.select("unit", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("unit")).alias("a"), F.bit_xor(F.xxhash64("unit", F.lit("again"))).alias("b")
+    )
+    sizes = materialize(members.filter("size > 1").groupBy("size", "a", "b").agg(F.min("bucket").alias("bucket")).select("bucket", "size"), "paragraph-buckets")
+    asked_units = banded.select("unit", F.explode("buckets").alias("bucket")).join(sizes, "bucket")
+    links = meet(banded.select("unit", "grams").join(asked_units, "unit"), "bucket", "size", "unit").mapInArrow(lambda b: _compare(b, settings), "u bigint, v bigint")
     linked = connected_components(links, "paragraph-clusters").withColumnRenamed("node", "unit")
     clusters = contents.join(linked, "unit", "left").select("kind", "high", "low", "n", F.coalesce("component", "unit").alias("cluster"))
     totals = clusters.groupBy("cluster").agg(F.sum("n").alias("n")).filter("n > 1")
