@@ -85,6 +85,36 @@ def test_decontamination_equals_brute_force_in_any_blocks(spark, docs, texts):
             assert r.bad == (hit > 0 and 20 * hit >= n)
 
 
+def test_decontamination_holds_one_block_of_items_at_a_time(spark, monkeypatch):
+    rnd = random.Random(18)
+    items = [("same", prose(rnd, 30)) for _ in range(12)]
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(items)] + [(12, prose(rnd, 30))], "doc_id bigint, text string")
+    made, held = [], []
+    index_items, context = decontamination.index_items, type(spark.sparkContext)
+    broadcast = context.broadcast
+
+    def counted(rows):
+        made.append(sum(len(body) for _, body in rows))
+        return index_items(rows)
+
+    def kept(self, value):
+        out = broadcast(self, value)
+        held.append(out)
+        destroy = out.destroy
+        out.destroy = lambda *a: (held.remove(out), destroy(*a))
+        # The one before is gone when the next is made.
+        assert len(held) == 1
+        return out
+
+    monkeypatch.setattr(decontamination, "index_items", counted)
+    monkeypatch.setattr(context, "broadcast", kept)
+    total = sum(len(text) for _, text in items)
+    found = decontamination.with_matches(docs, spark.createDataFrame(items, "item_id string, text string"), "found", block_bytes=total // 4)
+    rows = found.select("doc_id", "found.items", decontamination.hit_words(F.col("found")).alias("hit")).collect()
+    assert sorted((r.doc_id, r.items, r.hit) for r in rows) == [(i, ["same"], 30) for i in range(12)] + [(12, [], 0)]
+    assert len(made) >= 4 and sum(made) == total and max(made) < total
+
+
 def test_near_duplicates_equal_brute_force(docs, texts):
     want = brute.classes({i: t for i, t in texts.items() if len((t or "").split()) < 9000})
     rows = ngram_join.near_duplicates(docs).collect()

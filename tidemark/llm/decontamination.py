@@ -8,7 +8,8 @@ left out of the sort; this drops no match.
 
 Words are runs of ASCII letters, ASCII digits and non-ASCII characters, A-Z as a-z. Null
 texts have no words; test items with a null id or no words are left out. Test items are
-sent to the tasks in blocks of a bounded size, each block looked up in all texts.
+sent to the tasks in blocks of a bounded size, each block looked up in all texts and its
+result written before the next block is collected.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import blocks
+from tidemark.llm.workspace import drop_table, materialize
 
 WINDOW = 13
 #: Bytes of test text that a task holds at once.
@@ -227,22 +229,32 @@ def with_matches(
     """``docs`` with a struct column ``result``: word count, hit word spans, items, longest match.
 
     An input column of that name is replaced. Rows stay where they are: no shuffle. The
-    benchmark is measured first and cut into blocks by a hash of the item id, so that the
-    part sent to the tasks stays near ``block_bytes``.
+    benchmark is measured first and cut into blocks by a hash of the item's id and text, so
+    that the part sent to the tasks stays near ``block_bytes``. With several blocks the
+    rows and the result so far are written to the shared folder after each but the last,
+    and the block's index is released: one is held at a time.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_id).cast("string").alias("name"), F.col(item_text).cast("binary").alias("body"))
     items = items.filter("name is not null and body is not null")
     total = items.agg(F.coalesce(F.sum(F.length("body")), F.lit(0))).first()[0]
     count = max(1, -(-total // block_bytes))
-    out, names = docs.drop(result), []
+    if count > 1:
+        items = items.dropDuplicates(["name", "body"])
+    out, block, written = docs.drop(result), f"__block_{result}", None
     for number in range(count):
-        own = items.filter(F.pmod(F.xxhash64("name"), F.lit(count)) == number) if count > 1 else items
+        own = items.filter(F.pmod(F.xxhash64("name", "body"), F.lit(count)) == number) if count > 1 else items
         index = spark.sparkContext.broadcast(index_items([(r.name, bytes(r.body)) for r in own.collect()]))
-        names.append(f"__block_{number}_{result}")
-        out = out.withColumn(names[-1], _lookup(F.col(text), index))
-    merged = F.col(names[0]) if count == 1 else _merged([F.col(name) for name in names])
-    return out.withColumn(result, merged).drop(*names)
+        out = out.withColumn(block if number else result, _lookup(F.col(text), index))
+        if number:
+            out = out.withColumn(result, _merged([F.col(result), F.col(block)])).drop(block)
+        if number < count - 1:
+            before, out = written, materialize(out, "decontamination-block")
+            written = out
+            index.destroy()
+            if before is not None:
+                drop_table(before)
+    return out
 
 
 def hit_words(found: Column) -> Column:
