@@ -242,6 +242,17 @@ def test_secrets_base_spans_and_random_strings(spark, docs, texts):
         assert [(s.start, s.kind, s.end) for s in r.base] == [(a, k, b) for a, _, k, b in brute.secrets(texts[r.doc_id])]
 
 
+def test_short_secrets_and_parts_of_joined_runs(spark):
+    odds = secrets.train_log_odds(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    short, mixed = "k7Qz0XvB2nWp9", "q8Zr2LkX0vTn5BdW7yHs1GfJ"
+    path = "/".join(["international", "station", "mention", "interest", "thentherein"] * 6)
+    text = f"use {short} in {path}/{mixed} and international-station, 4111111111111111"
+    extra = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    spans = extra.select(secrets.secrets(F.col("text"), odds).alias("s")).first().s
+    assert [(s.kind, s.value) for s in spans] == [("random", short), ("random", mixed)]
+    assert all(text[s.start : s.end] == s.value for s in spans)
+
+
 def test_licenses_equal_sql(docs, texts):
     got = sorted((r.doc_id, r.segment, r.license, r.dice) for r in licenses.scan_licenses(docs).collect())
     con = duckdb.connect()

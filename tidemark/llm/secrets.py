@@ -3,7 +3,8 @@
 Patterns find assignments to telling names, access keys and long hexadecimal runs. Other
 long strings are judged by two first-order Markov models of characters, one of random
 strings and one of ordinary identifiers: a string is a secret if the log-likelihood ratio
-of the two exceeds a threshold.
+of the two exceeds a threshold. Where a string as a whole is no secret, its parts between
+/ = _ and - are judged by the same threshold.
 
 The models learn from labelled samples of bounded size: random strings are made from
 hashes of row numbers (hexadecimal, base 64, and letters with digits); ordinary
@@ -32,9 +33,13 @@ HEX = r"[0-9a-f]{32,}"
 
 @dataclass(frozen=True)
 class MarkovSettings:
-    """``min_length``: shorter strings are not judged. ``threshold``: in natural logarithms."""
+    """``min_length``: shorter strings are not judged. ``threshold``: in natural logarithms.
 
-    min_length: int = 20
+    Digits alone are judged from ``number_length`` on: shorter ones are card numbers and ids.
+    """
+
+    min_length: int = 12
+    number_length: int = 20
     threshold: float = 12.0
     train_texts: int = 2000
     random_strings: int = 4000
@@ -121,7 +126,18 @@ def candidates(text: Column, settings: MarkovSettings = MarkovSettings()) -> Col
 
 def _with_random(base: Column, long_runs: Column, log_odds: list[float], settings: MarkovSettings) -> Column:
     free = F.filter(long_runs, lambda s: ~overlaps(s, base))
-    random = F.filter(free, lambda s: log_likelihood_ratio(s["value"], log_odds) > settings.threshold)
+    part = rf"[A-Za-z0-9+]{{{settings.min_length},}}"
+
+    def is_random(span: Column) -> Column:
+        judgeable = (F.char_length(span["value"]) >= settings.number_length) | span["value"].rlike("[A-Za-z]")
+        return judgeable & (log_likelihood_ratio(span["value"], log_odds) > settings.threshold)
+
+    def judged(run: Column) -> Column:
+        parts = F.filter(matches(run["value"], part, "random", run["value"].rlike("[/=_-]")), is_random)
+        moved = F.transform(parts, lambda p: F.struct(p["kind"].alias("kind"), (run["start"] + p["start"]).alias("start"), (run["start"] + p["end"]).alias("end"), p["value"].alias("value")))
+        return F.when(is_random(run), F.array(run)).otherwise(moved)
+
+    random = F.flatten(F.transform(free, judged))
     return in_order(F.concat(base, random), KINDS)
 
 
