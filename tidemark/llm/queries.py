@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontamination, langid, licenses, mil_quality, ngram_join, paragraph_dedup, pii, repetition, secrets, spans
+from tidemark.llm import bpe, decontamination, exact_dedup, langid, licenses, mil_quality, ngram_join, paragraph_dedup, pii, repetition, secrets, spans
 from tidemark.llm.workspace import materialize, ship_package
 from tidemark.plans.inputs import table
 
@@ -155,3 +155,12 @@ def op6_bayes_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_paragraph_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated paragraphs, passages and whole texts of all documents."""
     return paragraph_dedup.repeated_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op13_polynomial_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact copies among all documents, and the one of each group that stays."""
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_polynomial_exact"] = exact_dedup.oracle_sql()
