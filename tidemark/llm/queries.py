@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontamination, exact_dedup, langid, licenses, mil_quality, ngram_join, paragraph_dedup, pii, repetition, secrets, spans
+from tidemark.llm import bpe, conversation_repair, decontamination, exact_dedup, langid, licenses, mil_quality, ngram_join, paragraph_dedup, pii, prefix_trie, repetition, secrets, spans
 from tidemark.llm.workspace import materialize, ship_package
 from tidemark.plans.inputs import table
 
@@ -157,6 +157,18 @@ def op8_paragraph_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraph_dedup.repeated_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op11_lightest_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and the cheapest repair of every damaged conversation."""
+    return conversation_repair.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_monoid_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op13_polynomial_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies among all documents, and the one of each group that stays."""
