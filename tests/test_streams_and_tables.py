@@ -1,6 +1,8 @@
 """Rules of the keyed streams, their tables and windows, on small invented rows."""
 
 import datetime as dt
+import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,7 +113,7 @@ def test_retention_by_age_and_number(spark, tmp_path):
     assert committed("old", 0) == [2, 3]
 
 
-@pytest.mark.parametrize("split_bytes", ["16", "1000000"])
+@pytest.mark.parametrize("split_bytes", ["64", "1000000"])
 def test_csv_rows_are_numbered_in_order_whatever_the_splits(spark, tmp_path, split_bytes):
     for name, first in (("a", 0), ("b", 40)):
         lines = [f"{'' if i % 3 else f'id{i}'},v{i}" for i in range(first, first + 40)]
@@ -133,12 +135,36 @@ def test_csv_short_rows_line_breaks_and_limit(spark, tmp_path):
     rows = csv_messages(scan_csv(spark, str(tmp_path)))
     assert sorted((r.key, r.value) for r in rows.collect()) == [
         ("2", '{"dol_vehicle_id":"","county":"only"}'),
-        ("3", '{"dol_vehicle_id":"  ","county":"c","make":"a \\"b\\", c"}'),
+        ("3", '{"dol_vehicle_id":""}'),
+        ("4", '{"dol_vehicle_id":"  ","county":"c","make":"a \\"b\\", c"}'),
         ("x", '{"dol_vehicle_id":"x","county":"two\\nlines","make":"m"}'),
     ]
     assert csv_messages(scan_csv(spark, str(tmp_path)), 2).count() == 2
 
 
+@pytest.mark.parametrize("split_bytes", ["60", "1000000"])
+def test_csv_records_over_lines_are_the_same_whatever_the_splits(spark, tmp_path, split_bytes):
+    rnd, want = random.Random(3), []
+    pieces = ['""', "a", "\n", ",", "b c", "\n\n", "\r\n", "é"]
+    for name in "ab":
+        body = ["DOL Vehicle ID,County,Make"]
+        for i in range(16):
+            quoted = "".join(rnd.choice(pieces) for _ in range(rnd.randrange(6)))
+            identifier, blank = ("" if i % 4 == 0 else f"{name}{i}"), i % 7 == 3
+            body.append("" if blank else f'{identifier},"{quoted}",m')
+            fields = {"dol_vehicle_id": ""} if blank else {"dol_vehicle_id": identifier, "county": quoted.replace('""', '"'), "make": "m"}
+            number = len(want) + 1
+            want.append((number, str(number) if blank or not identifier else identifier, fields))
+        (tmp_path / f"{name}.csv").write_bytes("\n".join([*body, ""]).encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        got = csv_messages(scan_csv(spark, str(tmp_path))).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r.row_index, r.key, json.loads(r.value)) for r in got) == want
+
+
 def test_publishing_without_places_numbers_the_rows(spark, tmp_path):
     log = MessageLog(spark, str(tmp_path / "log"))
     rows = spark.range(0, 50, 1, 4).select(F.col("id").cast("string").alias("key"), F.lit("{}").alias("value"))

@@ -28,9 +28,11 @@ class PipelineConfig:
     trigger: str = "10 seconds"
     buckets: int = 32
     files_per_bucket: int = 1
+    aggregate_buckets: int = 8
     keep_snapshots: int = 10
     keep_seconds: float = 3600
-    max_files_per_trigger: int | None = None
+    max_files_per_trigger: int | None = 1000
+    max_offsets_per_trigger: int | None = 10_000_000
     source_options: dict[str, str] = field(default_factory=dict)
 
     def table_path(self, table: str) -> str:

@@ -18,16 +18,41 @@ def lenient_int(text: Column) -> Column:
     return F.coalesce(text.try_cast("int"), F.when(has_value, cut).try_cast("int"))
 
 
-def settled(value: str | Column, digits: int = 4) -> Column:
-    """A sum or average of doubles as reported: ``digits`` places, without the unstable last ones.
+def exact_sum(value: str | Column, scale: int | None = None) -> Column:
+    """Sum of doubles that have at most ``scale`` decimal places, whatever the order of addition.
 
-    The last bits of such a result depend on the order in which partial sums met. Plain
-    rounding would pass that on wherever a result lies on a half, as averages often do; the
-    offset moves the borders to where they do not.
+    They are added as decimals. NaN, infinities and values of 10 ** 28 and more have no
+    decimal: where one occurs the sum is the plain one. Without ``scale`` it always is.
     """
     column = F.col(value) if isinstance(value, str) else value
-    unit = 10.0**digits
-    return F.floor(column * unit + 0.41421356).cast("double") / unit
+    if scale is None:
+        return F.sum(column)
+    exact = column.try_cast(f"decimal(30,{scale})")
+    return F.when(F.count(exact) == F.count(column), F.sum(exact).cast("double")).otherwise(F.sum(column))
+
+
+def sum_parts(value: str | Column, scale: int | None = None) -> list[Column]:
+    """Aggregates from which :func:`merged_parts` and :func:`sum_of_parts` make :func:`exact_sum` in two steps."""
+    column = F.col(value) if isinstance(value, str) else value
+    parts = [F.count(column).alias("_n"), F.sum(column).alias("_sum")]
+    if scale is not None:
+        exact = column.try_cast(f"decimal(30,{scale})")
+        parts += [F.count(exact).alias("_exact_n"), F.sum(exact).alias("_exact")]
+    return parts
+
+
+def part_names(scale: int | None = None) -> list[str]:
+    return ["_n", "_sum"] if scale is None else ["_n", "_sum", "_exact_n", "_exact"]
+
+
+def merged_parts(scale: int | None = None) -> list[Column]:
+    return [F.sum(name).alias(name) for name in part_names(scale)]
+
+
+def sum_of_parts(scale: int | None = None) -> Column:
+    if scale is None:
+        return F.col("_sum")
+    return F.when(F.col("_exact_n") == F.col("_n"), F.col("_exact").cast("double")).otherwise(F.col("_sum"))
 
 
 def mean(total: Column, count: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import mean
+from tidemark.functions.numeric import mean, merged_parts, sum_of_parts, sum_parts
 from tidemark.operators.latest import latest_by_key
 from tidemark.schemas import KEY
 
@@ -29,30 +29,18 @@ def distinct_count_and_average(joined: DataFrame, order: Sequence[str] = ("event
     return count_and_average(latest_by_key(joined, KEY, order))
 
 
-def range_parts(joined: DataFrame, *extra_groups: str) -> DataFrame:
-    """Mergeable parts of :func:`count_and_average`: counts and whole-number sums."""
-    return joined.groupBy(*extra_groups, "county", "make").agg(
+RANGE_SUMS = ("vehicle_count", "range_count", "range_sum")
+
+
+def range_parts(joined: DataFrame) -> DataFrame:
+    """Counts and whole-number sums from which :func:`count_and_average` can be added up."""
+    return joined.groupBy("county", "make").agg(
         F.count(F.lit(1)).alias("vehicle_count"),
         F.count("electric_range").alias("range_count"),
         F.sum(F.col("electric_range").cast("long")).alias("range_sum"),
     )
 
 
-def merge_range_parts(parts: DataFrame) -> DataFrame:
-    """Final counts and averages from the parts of any split of the rows."""
-    sums = parts.groupBy("county", "make").agg(
-        F.sum("vehicle_count").alias("vehicle_count"),
-        F.sum("range_count").alias("_n"),
-        F.sum("range_sum").alias("_sum"),
-    )
-    return sums.select(
-        "county",
-        "make",
-        "vehicle_count",
-        mean(F.col("_sum"), F.col("_n")).alias("avg_electric_range"),
-    )
-
-
 def joined_count_and_average(
     facts: DataFrame,
     dimension: DataFrame,
@@ -61,24 +49,24 @@ def joined_count_and_average(
     measure: str,
     count_name: str = "row_count",
     avg_name: str = "avg_value",
+    scale: int | None = None,
 ) -> DataFrame:
     """Join facts to a dimension, then count and average a measure by its columns.
 
     Facts shrink to one row per key on the map side before the join. That
-    aggregation and the join share one shuffle of the facts.
+    aggregation and the join share one shuffle of the facts. With the measure's number of
+    decimal places as ``scale`` the average does not depend on the order of addition.
     """
     per_key = facts.groupBy(key).agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.count(measure).alias("_n"),
-        F.sum(measure).alias("_sum"),
+        *sum_parts(measure, scale),
     )
     joined = per_key.join(dimension.select(key, *groups), key)
     sums = joined.groupBy(*groups).agg(
         F.sum("_rows").alias(count_name),
-        F.sum("_n").alias("_n"),
-        F.sum("_sum").alias("_sum"),
+        *merged_parts(scale),
     )
-    return sums.select(*groups, count_name, mean(F.col("_sum"), F.col("_n")).alias(avg_name))
+    return sums.select(*groups, count_name, mean(sum_of_parts(scale), F.col("_n")).alias(avg_name))
 
 
 def counts_by(rows: DataFrame, *groups: str, count_name: str = "row_count") -> DataFrame:
@@ -101,8 +89,13 @@ def ring_counts(rows: DataFrame, outer: str, inner: str, count_name: str = "row_
     Level 0 is the pair, 1 the outer value, 3 the total. Rows are counted by pair first, so
     the roll-up expands groups and not rows.
     """
-    pairs = counts_by(rows, outer, inner, count_name="_n")
-    return pairs.rollup(outer, inner).agg(
+    return rings_of(counts_by(rows, outer, inner, count_name=count_name), outer, inner, count_name)
+
+
+def rings_of(pairs: DataFrame, outer: str, inner: str, count_name: str = "row_count") -> DataFrame:
+    """:func:`ring_counts` from rows counted by pair already."""
+    counted = pairs.withColumnRenamed(count_name, "_n")
+    return counted.rollup(outer, inner).agg(
         F.grouping_id().cast("int").alias("level"),
         F.sum("_n").alias(count_name),
     )
@@ -114,12 +107,17 @@ def ring_shares(rows: DataFrame, outer: str, inner: str, count_name: str = "row_
     Every ring adds up to the number of rows, so one scalar serves all of them and
     no level has to be gathered in one task.
     """
-    total = counts_by(rows, outer, inner, count_name="_n").agg(F.sum("_n")).scalar()
-    rings = ring_counts(rows, outer, inner, count_name)
+    return shares_of(counts_by(rows, outer, inner, count_name=count_name), outer, inner, count_name)
+
+
+def shares_of(pairs: DataFrame, outer: str, inner: str, count_name: str = "row_count") -> DataFrame:
+    """:func:`ring_shares` from rows counted by pair already."""
+    total = pairs.agg(F.sum(count_name)).scalar()
+    rings = rings_of(pairs, outer, inner, count_name)
     return rings.withColumn("share", F.col(count_name).cast("double") / total)
 
 
-_AGGREGATES = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max, "avg": F.avg}
+_AGGREGATES = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max, "avg": lambda what: mean(F.sum(what), F.count(what))}
 _MERGES = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 
 

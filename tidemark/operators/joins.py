@@ -79,6 +79,20 @@ def vehicle_interval_join(
     return joined.select(KEY, F.col("l_time").alias("event_time"), "county", "make", "electric_range")
 
 
+#: Order of the pairs of a vehicle; a pair equals another if it is equal in all of it.
+PAIR_ORDER = ("event_time", "county", "make", "electric_range")
+
+
+def distinct_pairs(pairs: DataFrame, within: bool = True) -> DataFrame:
+    """Pairs without repetitions, as messages sent again leave them.
+
+    On streams a pair is remembered for the watermark's delay (``within``), which bounds
+    the state; what comes again later has to be settled where pairs are kept.
+    """
+    columns = [KEY, *PAIR_ORDER]
+    return pairs.dropDuplicatesWithinWatermark(columns) if within and pairs.isStreaming else pairs.dropDuplicates(columns)
+
+
 def counted_join(
     facts: DataFrame,
     dimension: DataFrame,

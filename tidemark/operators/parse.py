@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.lookup import all_fields
 from tidemark.functions.numeric import lenient_int
-from tidemark.schemas import EVDATA, EVDATA_BOUNDS, KEY, LOCATION, MessageType
+from tidemark.schemas import EVDATA, EVDATA_BOUNDS, KEY, LOCATION, UNREADABLE, VALID, MessageType
 
 
 def decode(messages: DataFrame, key: str = KEY) -> DataFrame:
@@ -27,7 +28,12 @@ def typed_rows(messages: DataFrame, kind: MessageType) -> DataFrame:
     A payload that is not valid JSON leaves its fields null; numbers that cannot be
     read become null.
     """
-    parsed = _once(decode(messages), F.from_json("payload", kind.payload_schema), "body")
+    return _typed(messages, kind).drop(UNREADABLE)
+
+
+def _typed(messages: DataFrame, kind: MessageType) -> DataFrame:
+    schema = T.StructType([*kind.payload_schema.fields, T.StructField(UNREADABLE, T.StringType())])
+    parsed = _once(decode(messages), F.from_json("payload", schema, {"columnNameOfCorruptRecord": UNREADABLE}), "body")
 
     def column(field) -> Column:
         text = F.col(f"body.`{field.payload}`")
@@ -40,6 +46,7 @@ def typed_rows(messages: DataFrame, kind: MessageType) -> DataFrame:
         *(F.col(f"fields.{f.column}").alias(f.column) for f in kind.table_fields),
         "msg_partition",
         "msg_offset",
+        (F.col("body").isNull() | F.col(f"body.{UNREADABLE}").isNotNull()).alias(UNREADABLE),
     )
 
 
@@ -69,6 +76,19 @@ def valid_evdata(messages: DataFrame, bounds: dict[str, tuple[int, int]] | None
     return within(typed_rows(messages, EVDATA), EVDATA_BOUNDS if bounds is None else bounds)
 
 
+def judged_location(messages: DataFrame) -> DataFrame:
+    """All location rows, with whether the payload could not be read and whether the row is valid."""
+    return _typed(messages, LOCATION).withColumn(VALID, F.col(KEY).isNotNull())
+
+
+def judged_evdata(messages: DataFrame, bounds: dict[str, tuple[int, int]] | None = None) -> DataFrame:
+    """All vehicle rows, judged likewise."""
+    valid = F.lit(True)
+    for name, (low, high) in (EVDATA_BOUNDS if bounds is None else bounds).items():
+        valid = valid & F.coalesce(F.col(name).between(low, high), F.lit(False))
+    return _typed(messages, EVDATA).withColumn(VALID, valid)
+
+
 def field_maps(messages: DataFrame) -> DataFrame:
     """Each message with its payload read as a flat string map (null if unreadable)."""
     return _once(decode(messages), F.from_json("payload", "map<string,string>"), "fields")

@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import mean
+from tidemark.functions.numeric import mean, merged_parts, part_names, sum_of_parts, sum_parts
 
 
 def sliding_counts(
@@ -19,16 +19,19 @@ def sliding_counts(
     size: str = "5 minutes",
     slide: str = "1 minute",
     watermark: str | None = None,
+    scale: int | None = None,
 ) -> DataFrame:
-    """Count and average of ``measure`` per sliding window and group."""
+    """Count and average of ``measure`` per sliding window and group.
+
+    With the measure's number of decimal places as ``scale`` the averages are exact.
+    """
     if watermark:
         rows = rows.withWatermark(time, watermark)
     windowed = rows.groupBy(F.window(time, size, slide).alias("w"), *groups).agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.count(measure).alias("_n"),
-        F.sum(measure).alias("_sum"),
+        *sum_parts(measure, scale),
     )
-    return _finish(windowed, groups)
+    return _finish(windowed, groups, scale)
 
 
 def sliding_counts_by_pane(
@@ -38,24 +41,41 @@ def sliding_counts_by_pane(
     measure: str,
     size: str = "5 minutes",
     slide: str = "1 minute",
+    scale: int | None = None,
 ) -> DataFrame:
-    """:func:`sliding_counts` for batch inputs; the last bits of an average may differ.
+    """:func:`sliding_counts` for batch inputs; without ``scale`` the last bits of an average may differ.
 
     Rows are first reduced to panes; only panes are copied into the windows that cover
     them. A pane is as wide as the greatest common divisor of size and slide, so it lies
     in a window wholly or not at all.
     """
+    return _finish(_by_pane(rows, time, groups, F.col(measure), size, slide, scale), groups, scale)
+
+
+def _by_pane(rows: DataFrame, time: str, groups: Sequence[str], measure: Column, size: str, slide: str, scale: int | None = None) -> DataFrame:
     pane = f"{math.gcd(_seconds(size), _seconds(slide))} seconds"
     panes = rows.groupBy(F.window(time, pane).alias("p"), *groups).agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.count(measure).alias("_n"),
-        F.sum(measure).alias("_sum"),
+        *sum_parts(measure, scale),
     )
-    pane_start = panes.select(F.col("p.start").alias("_start"), *groups, "_rows", "_n", "_sum")
-    windowed = pane_start.groupBy(F.window("_start", size, slide).alias("w"), *groups).agg(
-        F.sum("_rows").alias("_rows"), F.sum("_n").alias("_n"), F.sum("_sum").alias("_sum")
+    pane_start = panes.select(F.col("p.start").alias("_start"), *groups, "_rows", *part_names(scale))
+    return pane_start.groupBy(F.window("_start", size, slide).alias("w"), *groups).agg(F.sum("_rows").alias("_rows"), *merged_parts(scale))
+
+
+WINDOW_SUMS = ("row_count", "value_count", "value_sum")
+
+
+def window_sums(rows: DataFrame, time: str, groups: Sequence[str], measure: Column, size: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
+    """Counts and sums per sliding window and group, to be added up; ``measure`` a whole number or decimal."""
+    windowed = _by_pane(rows, time, groups, measure, size, slide)
+    return windowed.select(
+        F.col("w.start").alias("window_start"),
+        F.col("w.end").alias("window_end"),
+        *groups,
+        F.col("_rows").alias("row_count"),
+        F.col("_n").alias("value_count"),
+        F.col("_sum").alias("value_sum"),
     )
-    return _finish(windowed, groups)
 
 
 def _seconds(interval: str) -> int:
@@ -64,11 +84,11 @@ def _seconds(interval: str) -> int:
     return int(count) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
 
 
-def _finish(windowed: DataFrame, groups: Sequence[str]) -> DataFrame:
+def _finish(windowed: DataFrame, groups: Sequence[str], scale: int | None = None) -> DataFrame:
     return windowed.select(
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),
         *groups,
         F.col("_rows").alias("row_count"),
-        mean(F.col("_sum"), F.col("_n")).alias("avg_value"),
+        mean(sum_of_parts(scale), F.col("_n")).alias("avg_value"),
     )

@@ -13,9 +13,10 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.config import PipelineConfig
 from tidemark.functions.lookup import field_by_name
 from tidemark.functions.messages import message_key, row_json
-from tidemark.functions.numeric import lenient_int, settled
+from tidemark.functions.numeric import exact_sum, lenient_int, mean
 from tidemark.functions.text import BOM
 from tidemark.operators import aggregates, joins, latest, parse, windows
+from tidemark.plans import workbook
 from tidemark.plans.inputs import (
     EVENT_CUTS,
     arrivals,
@@ -29,11 +30,12 @@ from tidemark.plans.inputs import (
     wall_clock,
 )
 from tidemark.schemas import EVDATA, KEY, LOCATION
-from tidemark.session import new_run_dir
+from tidemark.session import new_run_dir, state_in_rocksdb
 from tidemark.sources import catalog, messages
 from tidemark.sources.csv import csv_messages, scan_csv
-from tidemark.sources.tables import KeyedTable, SnapshotTable
-from tidemark.streaming import app, summaries, writers
+from tidemark.sources.additive import AdditiveTable
+from tidemark.sources.tables import PROGRESS, KeyedTable
+from tidemark.streaming import app, late, summaries, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,7 +51,7 @@ def query(function: Query) -> Query:
 
 @query
 def join_group_count_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = aggregates.joined_count_and_average(
+    return aggregates.joined_count_and_average(
         table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey"),
         table(spark, sf_dir, "customer"),
         "c_custkey",
@@ -57,8 +59,24 @@ def join_group_count_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_totalprice",
         count_name="order_count",
         avg_name="avg_totalprice",
+        scale=2,
+    )
+
+
+@query
+def extreme_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages of values among which are NaN, an infinity, or very large ones."""
+    odd, kind = F.col("event_id") % 500 == 0, F.col("event_type")
+    value = (
+        F.when(odd & (kind == "click"), F.lit(float("nan")))
+        .when(odd & (kind == "view"), F.lit(float("inf")))
+        .when(odd & (kind == "purchase"), F.lit(1e15))
+        .otherwise(F.col("value"))
+    )
+    rows = table(spark, sf_dir, "events").withColumn("value", value)
+    return rows.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("row_count"), exact_sum("value", 2).alias("sum_value"), mean(exact_sum("value", 2), F.count("value")).alias("avg_value")
     )
-    return result.withColumn("avg_totalprice", settled("avg_totalprice"))
 
 
 @query
@@ -182,12 +200,12 @@ def relationship_no_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = (
         table(spark, sf_dir, "supplier")
         .groupBy(F.col("s_nationkey").alias("nationkey"))
-        .agg(F.count(F.lit(1)).alias("suppliers"), settled(F.sum("s_acctbal"), 2).alias("s_acctbal"))
+        .agg(F.count(F.lit(1)).alias("suppliers"), exact_sum("s_acctbal", 2).alias("s_acctbal"))
     )
     customers = (
         table(spark, sf_dir, "customer")
         .groupBy(F.col("c_nationkey").alias("nationkey"))
-        .agg(F.count(F.lit(1)).alias("customers"), settled(F.sum("c_acctbal"), 2).alias("c_acctbal"))
+        .agg(F.count(F.lit(1)).alias("customers"), exact_sum("c_acctbal", 2).alias("c_acctbal"))
     )
     names = ["suppliers", "customers"]
     return joins.aligned_totals(suppliers, customers, "nationkey").fillna(0, names).fillna(0.0)
@@ -227,8 +245,8 @@ def fixed_grain_avg_vs_max(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined,
         dims,
         dims,
-        {"_avg": ("avg", "o_totalprice"), "_max": ("max", "o_totalprice")},
-        {"sum_of_avg": settled(F.sum("_avg")), "max_totalprice": F.max("_max")},
+        {"_avg": ("avg", _cents("o_totalprice")), "_max": ("max", "o_totalprice")},
+        {"sum_of_avg": F.sum("_avg"), "max_totalprice": F.max("_max")},
     )
 
 
@@ -239,8 +257,8 @@ def fixed_grain_finer_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         _orders_by_customer(spark, sf_dir),
         ["c_nationkey", "c_mktsegment"],
         ["c_nationkey", "c_mktsegment", "o_orderstatus"],
-        {"_avg": ("avg", "o_totalprice")},
-        {"fixed_avg": settled(F.sum("_avg"))},
+        {"_avg": ("avg", _cents("o_totalprice"))},
+        {"fixed_avg": F.sum("_avg")},
     )
 
 
@@ -252,10 +270,15 @@ def fixed_grain_coarser_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["c_nationkey", "c_mktsegment"],
         ["c_nationkey"],
         {"_max": ("max", "o_totalprice"), "_n": ("count", F.lit(1))},
-        {"sum_of_max": settled(F.sum("_max"), 2), "row_count": F.sum("_n")},
+        {"sum_of_max": exact_sum("_max", 2), "row_count": F.sum("_n")},
     )
 
 
+def _cents(column: str):
+    """Amounts as the decimals they are."""
+    return F.col(column).cast("decimal(18,2)")
+
+
 def _orders_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("c_custkey"), "o_orderstatus", "o_totalprice"
@@ -266,22 +289,22 @@ def _orders_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def measure_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sum and average of stored averages, and the sum of the measure itself."""
+    """Sum and average of the largest price of each status, and the sum of all prices."""
     per_status = (
         table(spark, sf_dir, "orders")
         .groupBy("o_orderstatus")
-        .agg(F.max("o_totalprice").alias("top"), F.sum("o_totalprice").alias("total"))
+        .agg(F.max("o_totalprice").alias("top"), F.sum(_cents("o_totalprice")).alias("total"))
     )
     return per_status.agg(
-        settled(F.avg("top")).alias("avg_of_tops"),
-        settled(F.sum("top"), 2).alias("sum_of_tops"),
-        settled(F.sum("total"), 2).alias("sum_totalprice"),
+        mean(exact_sum("top", 2), F.count("top")).alias("avg_of_tops"),
+        exact_sum("top", 2).alias("sum_of_tops"),
+        F.sum("total").cast("double").alias("sum_totalprice"),
     )
 
 
 @query
 def sliding_window_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = windows.sliding_counts_by_pane(events(spark, sf_dir), "ts", ["event_type"], "value")
+    result = windows.sliding_counts_by_pane(events(spark, sf_dir), "ts", ["event_type"], "value", scale=2)
     return _window_columns(result)
 
 
@@ -291,7 +314,7 @@ def _window_columns(result: DataFrame) -> DataFrame:
         wall_clock("window_end").alias("window_end"),
         "event_type",
         "row_count",
-        settled("avg_value").alias("avg_value"),
+        "avg_value",
     )
 
 
@@ -477,6 +500,21 @@ def csv_row_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def csv_split_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of CSV files whose records hold line breaks, with blank lines between them, read in splits."""
+    path = new_run_dir(spark, "csv-splits")
+    number = F.col("c_custkey")
+    identifier = F.when(number % 5 == 0, F.lit("")).otherwise(F.col("c_name"))
+    record = F.concat(identifier, F.lit(',"'), F.col("c_mktsegment"), F.lit('\nsecond ""line"""'), F.when(number % 11 == 0, "\n").otherwise(""))
+    customers = table(spark, sf_dir, "customer")
+    rows = customers.select((number % 8).alias("file"), number.alias("place"), record.alias("value"))
+    header = rows.select("file").distinct().select("file", F.lit(-1).cast("bigint").alias("place"), F.lit("DOL Vehicle ID,County").alias("value"))
+    lines = rows.unionByName(header).repartition("file").sortWithinPartitions("file", "place")
+    lines.select("file", "value").write.partitionBy("file").text(path)
+    return csv_messages(scan_csv(spark, path)).select("key", "value")
+
+
 @query
 def topic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages per topic and in total after publishing both topics."""
@@ -562,10 +600,61 @@ def aggregate_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.scan(tables.config.aggregate_table)
 
 
-def _publish_vehicles(spark: SparkSession, sf_dir: str, config: PipelineConfig) -> messages.MessageLog:
+def _workbook(spark: SparkSession, sf_dir: str):
+    """The workbook's model over catalog tables in which a seventh of the vehicles have no location."""
+    tables = app.VehicleTables(spark, _vehicle_config(spark, "workbook"))
+    tables.ensure()
+    located = location_records(spark, sf_dir).filter(F.col("key").cast("bigint") % 7 != 0)
+    for name, keyed, rows in (
+        (tables.config.location_table, tables.location, parse.valid_location(as_messages(located))),
+        (tables.config.evdata_table, tables.evdata, parse.valid_evdata(as_messages(evdata_records(spark, sf_dir)))),
+    ):
+        tables.publish_changes(name, keyed, keyed.snapshot(), keyed.upsert(rows))
+    tables.refresh_aggregate()
+    return workbook.workbook_model(tables)
+
+
+@query
+def worksheet_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return workbook.average_and_largest_range(_workbook(spark, sf_dir))
+
+
+@query
+def worksheet_county_make(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return workbook.county_and_make(_workbook(spark, sf_dir))
+
+
+@query
+def worksheet_make_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return workbook.make_and_model(_workbook(spark, sf_dir))
+
+
+@query
+def worksheet_make_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return workbook.make_and_city(_workbook(spark, sf_dir))
+
+
+def _rounded(measures: DataFrame) -> DataFrame:
+    """Sums of doubles to six places: the last bits depend on the order of addition."""
+    return measures.withColumns({c: F.round(c, 6) for c in ("avg_of_averages", "sum_of_averages")})
+
+
+@query
+def workbook_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Average and sum of the stored averages, and the sum of the stored ranges."""
+    return _rounded(workbook.stored_measures(_workbook(spark, sf_dir)))
+
+
+@query
+def workbook_measures_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a dimension of the third table, to which one of them relates many-to-many."""
+    return _rounded(workbook.stored_measures(_workbook(spark, sf_dir), ("city",)))
+
+
+def _publish_vehicles(spark: SparkSession, sf_dir: str, config: PipelineConfig, broken: bool = False) -> messages.MessageLog:
     log = messages.MessageLog(spark, config.messages)
-    log.publish(location_records(spark, sf_dir), config.location_topic)
-    for part in arrivals(evdata_records(spark, sf_dir), "timestamp", _order_cuts()):
+    log.publish(location_records(spark, sf_dir, broken), config.location_topic)
+    for part in arrivals(evdata_records(spark, sf_dir, broken), "timestamp", _order_cuts()):
         log.publish(part, config.evdata_topic)
     return log
 
@@ -581,6 +670,18 @@ def stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.scan(config.aggregate_table)
 
 
+@query
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What both streams consumed, as committed with their tables: broken messages count."""
+    config = _vehicle_config(spark, "progress")
+    _publish_vehicles(spark, sf_dir, config, broken=True)
+    tables, queries = app.start_streams(spark, config, trigger=None)
+    for running in queries:
+        running.awaitTermination()
+    rows = [(name, *(counts[c] for c in PROGRESS)) for name, counts in tables.consumed().items()]
+    return spark.createDataFrame(rows, ", ".join(["table_name string", *(f"{c} bigint" for c in PROGRESS)]))
+
+
 @query
 def rebuild_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same tables replayed from all messages in batch."""
@@ -608,12 +709,13 @@ def _by_arrival(
 ) -> None:
     """Publish a part, stream all there is, and go on with the next part.
 
-    Each start resumes from the same checkpoint. A part is one batch whatever its number
-    of files, so none of its rows can come behind the watermark of the others.
+    Each start resumes from the same checkpoint. A batch takes two files at most, so a part
+    spans batches; its files are in the order of time, so none of its rows come behind
+    the watermark that the others have moved.
     """
     for part in parts:
-        log.publish(part, topic)
-        start(log.read_stream(topic)).awaitTermination()
+        log.publish(part, topic, by_time=True)
+        start(log.read_stream(topic, 2)).awaitTermination()
 
 
 def _stream_events(
@@ -667,6 +769,46 @@ def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(_pair_columns(_near_pairs(rows, rows)).schema).parquet(f"{root}/pairs")
 
 
+@query
+def stream_join_rocksdb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same join with its state in RocksDB, stopped and started again after every part."""
+    with state_in_rocksdb(spark):
+        return stream_interval_join(spark, sf_dir)
+
+
+@query
+def stream_vehicle_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both topics joined as streams, messages sent twice, each vehicle counted once with its latest pair."""
+    root = new_run_dir(spark, "stream-once")
+    log = messages.MessageLog(spark, f"{root}/log")
+    kept: KeyedTable | None = None
+    for part in arrivals(events(spark, sf_dir), "ts", EVENT_CUTS):
+        for _ in range(2):
+            log.publish(sighting_records(part, "click"), "location")
+        log.publish(sighting_records(part, "purchase"), "evdata")
+        pairs = _vehicle_pairs(log.read_stream("location"), log.read_stream("evdata"), "10 minutes")
+        once = joins.distinct_pairs(pairs)
+        kept = kept or KeyedTable(spark, f"{root}/table", once.schema, KEY, joins.PAIR_ORDER, buckets=8)
+        writers.start_upserts(once, kept, f"{root}/checkpoint", None).awaitTermination()
+    return aggregates.count_and_average(kept.read())
+
+
+@query
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding windows of parts that arrive out of order: late rows set aside, then added to their windows."""
+    root = new_run_dir(spark, "stream-late")
+    rows = events(spark, sf_dir)
+    groups = T.StructType([rows.schema["event_type"]])
+    kept = late.LateWindows.make_table(spark, f"{root}/table", groups, T.DecimalType(28, 2))
+    decoded = _decoded_events(as_messages(event_records(rows)))
+    windowed = late.LateWindows(kept, f"{root}/late", decoded.schema, "ts", ["event_type"], _cents("value"))
+    first, second, third = (event_records(p) for p in arrivals(rows, "ts", EVENT_CUTS))
+    log = messages.MessageLog(spark, f"{root}/log")
+    _by_arrival(log, "events", [second, first, third], lambda s: windowed.start(_decoded_events(s), f"{root}/checkpoint", None))
+    windowed.correct()
+    return _window_columns(kept.read())
+
+
 @query
 def stream_vehicle_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both topics joined as streams within ten minutes, then counted and averaged."""
@@ -691,7 +833,7 @@ def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
         sf_dir,
         root,
         lambda rows: writers.start_upserts(
-            windows.sliding_counts(rows, "ts", ["event_type"], "value", watermark="10 minutes"),
+            windows.sliding_counts(rows, "ts", ["event_type"], "value", watermark="10 minutes", scale=2),
             keyed,
             f"{root}/checkpoint",
             None,
@@ -706,11 +848,11 @@ def stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running counts of a topic, kept in a table while it is read."""
     root = new_run_dir(spark, "stream-summary")
     log = messages.MessageLog(spark, f"{root}/log")
-    kept = SnapshotTable(spark, f"{root}/table", summaries.SUMMARY_SCHEMA)
+    kept = AdditiveTable(spark, f"{root}/table", T.StructType(summaries.SUMMARY_SCHEMA.fields[:2]), ["row_count"], "row_count")
     _by_arrival(
         log,
         "evdata",
         arrivals(evdata_records(spark, sf_dir, broken=True), "timestamp", _order_cuts()),
-        lambda s: writers.start_replacing(summaries.topic_summary(s, EVDATA), kept, f"{root}/checkpoint", None),
+        lambda s: writers.start_counts(s, kept, lambda batch: summaries.topic_summary(batch, EVDATA), f"{root}/checkpoint", None),
     )
     return kept.read().drop("bucket").fillna("", ["field_value"])

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 
-def _settled(value: str, digits: int = 4) -> str:
-    """What remains of a sum or average of doubles whatever the order of addition."""
-    return f"floor(({value}) * 1e{digits} + 0.41421356) / 1e{digits}"
+def _sum(value: str) -> str:
+    """Sum of amounts of two decimal places, exact in any order of addition."""
+    return f"CAST(SUM(CAST({value} AS DECIMAL(18,2))) AS DOUBLE)"
+
+
+def _avg(value: str) -> str:
+    return f"{_sum(value)} / COUNT({value})"
 
 
 _LATEST_EVENTS = """
@@ -31,7 +35,7 @@ FROM c JOIN p ON c.user_id = p.user_id
 
 _SLIDING = f"""
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, event_type,
-       COUNT(*) AS row_count, {_settled("AVG(value)")} AS avg_value
+       COUNT(*) AS row_count, {_avg("value")} AS avg_value
 FROM (
   SELECT event_type, value, date_trunc('minute', ts) - to_minutes(CAST(s.i AS BIGINT)) AS window_start
   FROM events, (SELECT unnest(range(0, 5)) AS i) s
@@ -71,6 +75,21 @@ GROUP BY 1, 2
 """
 )
 
+_WORKBOOK = (
+    _EVDATA
+    + """
+, vehicles AS (
+  SELECT * FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY dol_vehicle_id ORDER BY event_time DESC, msg_offset DESC) AS rn FROM valid
+  ) WHERE rn = 1
+), places AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS id, 'County ' || CAST(c_nationkey AS VARCHAR) AS county, c_mktsegment AS city
+  FROM customer WHERE c_custkey % 7 <> 0
+), located AS (SELECT * FROM vehicles LEFT JOIN places ON dol_vehicle_id = id
+), totals AS (SELECT county, make, AVG(electric_range) AS average FROM located WHERE id IS NOT NULL GROUP BY 1, 2)
+"""
+)
+
 _VEHICLE_INTERVAL = (
     _EVENT_KINDS
     + """
@@ -116,7 +135,7 @@ FROM orders WHERE o_orderpriority <> '1-URGENT' GROUP BY t
 
 ORACLE: dict[str, str] = {
     "join_group_count_avg": f"""
-SELECT c_nationkey, c_mktsegment, COUNT(*) AS order_count, {_settled("AVG(o_totalprice)")} AS avg_totalprice
+SELECT c_nationkey, c_mktsegment, COUNT(*) AS order_count, {_avg("o_totalprice")} AS avg_totalprice
 FROM orders JOIN customer ON o_custkey = c_custkey
 GROUP BY c_nationkey, c_mktsegment
 """,
@@ -150,10 +169,10 @@ GROUP BY 1, 2
 """,
     "relationship_no_fanout": f"""
 WITH s AS (
-  SELECT s_nationkey AS nationkey, COUNT(*) AS suppliers, {_settled("SUM(s_acctbal)", 2)} AS s_acctbal
+  SELECT s_nationkey AS nationkey, COUNT(*) AS suppliers, {_sum("s_acctbal")} AS s_acctbal
   FROM supplier GROUP BY 1
 ), c AS (
-  SELECT c_nationkey AS nationkey, COUNT(*) AS customers, {_settled("SUM(c_acctbal)", 2)} AS c_acctbal
+  SELECT c_nationkey AS nationkey, COUNT(*) AS customers, {_sum("c_acctbal")} AS c_acctbal
   FROM customer GROUP BY 1
 )
 SELECT COALESCE(s.nationkey, c.nationkey) AS nationkey,
@@ -179,7 +198,7 @@ FROM (SELECT CAST(c_nationkey AS VARCHAR) AS nation, c_mktsegment FROM customer)
 GROUP BY ROLLUP (nation, c_mktsegment)
 """,
     "fixed_grain_avg_vs_max": f"""
-SELECT c_nationkey, c_mktsegment, {_settled("AVG(o_totalprice)")} AS sum_of_avg,
+SELECT c_nationkey, c_mktsegment, {_avg("o_totalprice")} AS sum_of_avg,
        MAX(o_totalprice) AS max_totalprice
 FROM orders JOIN customer ON o_custkey = c_custkey
 GROUP BY c_nationkey, c_mktsegment
@@ -187,7 +206,7 @@ GROUP BY c_nationkey, c_mktsegment
     "fixed_grain_finer_view": f"""
 WITH j AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey),
 f AS (
-  SELECT c_nationkey, c_mktsegment, {_settled("AVG(o_totalprice)")} AS fixed_avg
+  SELECT c_nationkey, c_mktsegment, {_avg("o_totalprice")} AS fixed_avg
   FROM j GROUP BY c_nationkey, c_mktsegment
 )
 SELECT v.c_nationkey, v.c_mktsegment, v.o_orderstatus, f.fixed_avg
@@ -195,15 +214,15 @@ FROM (SELECT DISTINCT c_nationkey, c_mktsegment, o_orderstatus FROM j) v
 JOIN f ON f.c_nationkey = v.c_nationkey AND f.c_mktsegment = v.c_mktsegment
 """,
     "fixed_grain_coarser_view": f"""
-SELECT c_nationkey, {_settled("SUM(m)", 2)} AS sum_of_max, CAST(SUM(n) AS BIGINT) AS row_count
+SELECT c_nationkey, {_sum("m")} AS sum_of_max, CAST(SUM(n) AS BIGINT) AS row_count
 FROM (
   SELECT c_nationkey, c_mktsegment, MAX(o_totalprice) AS m, COUNT(*) AS n
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey, c_mktsegment
 ) GROUP BY c_nationkey
 """,
     "measure_sums": f"""
-SELECT {_settled("AVG(top)")} AS avg_of_tops, {_settled("SUM(top)", 2)} AS sum_of_tops,
-       {_settled("SUM(total)", 2)} AS sum_totalprice
+SELECT {_avg("top")} AS avg_of_tops, {_sum("top")} AS sum_of_tops,
+       {_sum("total")} AS sum_totalprice
 FROM (
   SELECT o_orderstatus, MAX(o_totalprice) AS top, SUM(o_totalprice) AS total
   FROM orders GROUP BY o_orderstatus
@@ -316,6 +335,82 @@ UNION ALL SELECT 'city', c_mktsegment, COUNT(*) FROM customer WHERE c_nationkey
     "top_counties": """
 SELECT 'County ' || CAST(c_nationkey AS VARCHAR) AS field_value, COUNT(*) AS row_count
 FROM customer GROUP BY 1 ORDER BY row_count DESC, field_value LIMIT 10
+""",
+    "worksheet_ranges": _WORKBOOK
+    + """
+SELECT county, make, MAX(electric_range) AS max_electric_range, AVG(electric_range) AS fixed_avg_range
+FROM located GROUP BY county, make
+""",
+    "worksheet_county_make": _WORKBOOK
+    + """
+SELECT county, make, CAST(GROUPING(county, make) AS INTEGER) AS level, COUNT(*) AS row_count,
+       CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM located) AS share
+FROM located GROUP BY ROLLUP (county, make)
+""",
+    "worksheet_make_model": _WORKBOOK
+    + """
+SELECT make, model, CAST(GROUPING(make, model) AS INTEGER) AS level, COUNT(*) AS row_count,
+       CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM located) AS share
+FROM located GROUP BY ROLLUP (make, model)
+""",
+    "worksheet_make_city": _WORKBOOK + "SELECT city, make, COUNT(*) AS row_count FROM located GROUP BY city, make",
+    "workbook_measures": _WORKBOOK
+    + """
+SELECT ROUND(AVG(average), 6) AS avg_of_averages, ROUND(SUM(average), 6) AS sum_of_averages,
+       (SELECT CAST(SUM(electric_range) AS BIGINT) FROM located) AS sum_electric_range
+FROM totals
+""",
+    "workbook_measures_by_city": _WORKBOOK
+    + """
+, t AS (
+  SELECT city, ROUND(AVG(average), 6) AS avg_of_averages, ROUND(SUM(average), 6) AS sum_of_averages
+  FROM totals JOIN (SELECT DISTINCT county, city FROM places) p ON totals.county = p.county GROUP BY city
+), r AS (SELECT city, CAST(SUM(electric_range) AS BIGINT) AS sum_electric_range FROM located GROUP BY city)
+SELECT r.city, avg_of_averages, sum_of_averages, sum_electric_range FROM r LEFT JOIN t ON r.city IS NOT DISTINCT FROM t.city
+""",
+    "extreme_averages": """
+WITH e AS (
+  SELECT event_type, CASE WHEN event_id % 500 = 0 AND event_type = 'click' THEN CAST('NaN' AS DOUBLE)
+    WHEN event_id % 500 = 0 AND event_type = 'view' THEN CAST('Infinity' AS DOUBLE)
+    WHEN event_id % 500 = 0 AND event_type = 'purchase' THEN 1e15 ELSE value END AS v FROM events
+), s AS (
+  SELECT event_type, COUNT(*) AS row_count, COUNT(v) AS n, CASE WHEN COUNT(*) FILTER (NOT isfinite(v)) > 0 THEN SUM(v)
+    ELSE CAST(SUM(CAST(CASE WHEN isfinite(v) THEN v END AS DECIMAL(30,2))) AS DOUBLE) END AS sum_value
+  FROM e GROUP BY event_type
+)
+SELECT event_type, row_count, sum_value, sum_value / n AS avg_value FROM s
+""",
+    "csv_split_records": r"""
+WITH r AS (
+  SELECT c_custkey % 8 AS f, c_custkey, 0 AS blank, c_mktsegment, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_name END AS id FROM customer
+  UNION ALL SELECT c_custkey % 8, c_custkey, 1, NULL, '' FROM customer WHERE c_custkey % 11 = 0
+), n AS (SELECT *, ROW_NUMBER() OVER (ORDER BY f, c_custkey, blank) AS i FROM r)
+SELECT CASE WHEN id = '' THEN CAST(i AS VARCHAR) ELSE id END AS key,
+       '{"dol_vehicle_id":"' || id || CASE WHEN blank = 1 THEN '"}'
+         ELSE '","county":"' || c_mktsegment || '\nsecond \"line\""}' END AS value
+FROM n
+""",
+    "stream_progress": _EVDATA
+    + """
+SELECT 'ev_location_data' AS table_name, COUNT(*) AS rows, COUNT(*) FILTER (c_nationkey = 7) AS unreadable,
+       CAST(0 AS BIGINT) AS rejected, CAST(0 AS BIGINT) AS rows_without_key
+FROM customer
+UNION ALL
+SELECT 'ev_data', COUNT(*), COUNT(*) FILTER (make = '1-URGENT'),
+       COUNT(*) - (SELECT COUNT(*) FROM valid WHERE make <> '1-URGENT'), 0
+FROM raw
+""",
+    "stream_join_rocksdb": _INTERVAL_JOIN,
+    "stream_late_rows": _SLIDING,
+    "stream_vehicle_once": _EVENT_KINDS
+    + """
+SELECT county, make, COUNT(*) AS vehicle_count, AVG(k) AS avg_electric_range FROM (
+  SELECT county, make, k, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, county DESC, make DESC, k DESC) AS rn FROM (
+    SELECT c.user_id, c.ts, p.k, 'County ' || CAST(CAST(floor(c.k / 25) AS INTEGER) AS VARCHAR) AS county,
+           'Make ' || CAST(CAST(floor(p.k / 25) AS INTEGER) AS VARCHAR) AS make
+    FROM c JOIN p ON c.user_id = p.user_id AND c.ts >= p.ts - INTERVAL 10 MINUTE AND c.ts <= p.ts + INTERVAL 10 MINUTE
+  )
+) WHERE rn = 1 GROUP BY county, make
 """,
     "vehicle_types": """
 SELECT CASE WHEN o_orderstatus = 'F' THEN 'Battery Electric Vehicle (BEV)'

@@ -24,6 +24,11 @@ MESSAGE_SCHEMA = T.StructType(
 ORDER = ("event_time", "msg_partition", "msg_offset")
 
 
+# Columns of rows that are judged but not yet filtered.
+UNREADABLE = "_unreadable"
+VALID = "_valid"
+
+
 @dataclass(frozen=True)
 class Field:
     """One payload field: its name in the message, in tables, and its other spellings."""

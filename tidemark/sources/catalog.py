@@ -30,14 +30,9 @@ def create_keyed_table(spark: SparkSession, name: str, schema: T.StructType, tab
         sync_buckets(spark, name, table, current, current.buckets())
 
 
-def recreate_table(spark: SparkSession, name: str, schema: T.StructType, table: SnapshotTable) -> None:
-    """Drop the entry and create it anew over the current snapshot; files stay."""
-    current = table.snapshot()
-    location = table.path
-    if current and current.buckets():
-        location = table.bucket_path(0, current.versions["0"])
+def drop_entry(spark: SparkSession, name: str) -> None:
+    """Drop the entry; files stay."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({_column_list(schema)}) USING PARQUET LOCATION '{location}'")
 
 
 def sync_buckets(
@@ -59,12 +54,6 @@ def sync_buckets(
     spark.catalog.refreshTable(name)
 
 
-def move_table(spark: SparkSession, name: str, table: SnapshotTable, snapshot: Snapshot) -> None:
-    """Point an unpartitioned entry at the single bucket of a snapshot."""
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{table.bucket_path(0, snapshot.versions['0'])}'")
-    spark.catalog.refreshTable(name)
-
-
 def scan(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table without its storage column."""
     return spark.table(name).drop(BUCKET)

@@ -13,6 +13,8 @@ from tidemark.sources.tables import no_rows
 
 # Fixed value: partitions per topic.
 TOPIC_PARTITIONS = 3
+#: Parts of an offset range that one round of ``bounded_read`` counts.
+RANGES = 1024
 
 _COLUMNS = MESSAGE_SCHEMA.fieldNames()
 
@@ -43,9 +45,13 @@ class MessageLog:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         return reader.parquet(self._topic_path(topic))
 
-    def publish(self, messages: DataFrame, topic: str, limit: int = 0, start: int = 0) -> int:
+    def publish(self, messages: DataFrame, topic: str, limit: int = 0, start: int = 0, by_time: bool = False) -> int:
         """Append messages (key, value and, if present, timestamp and row_index).
 
+        With ``by_time`` each file holds a range of times and is dated after the one before, so that
+        a stream that takes a few files at a time sees the times in order and its
+        watermark passes none of them.
+
         ``row_index``, from 1, is the place of a message in its topic; without it the rows
         are numbered in their order. ``start`` is added for inputs numbered apart from what
         the topic holds already: it only settles ties of time, and nothing is looked up.
@@ -64,7 +70,14 @@ class MessageLog:
             key.cast("binary").alias("key"),
             F.col("value").cast("binary").alias("value"),
         )
-        return _counted_write(records, lambda rows: rows.write.mode("append").parquet(self._topic_path(topic)))
+        path = self._topic_path(topic)
+        if not by_time:
+            return _counted_write(records, lambda rows: rows.write.mode("append").parquet(path))
+        known = set(fs.names(self.spark, path))
+        ordered = records.repartitionByRange("timestamp", "offset").sortWithinPartitions("timestamp", "offset")
+        written = _counted_write(ordered, lambda rows: rows.write.mode("append").parquet(path))
+        fs.date_in_order(self.spark, path, [n for n in fs.names(self.spark, path) if n.startswith("part-") and n not in known])
+        return written
 
     def topic_counts(self, *topics: str) -> DataFrame:
         """Number of messages per topic and in total."""
@@ -92,11 +105,13 @@ def first_rows(messages: DataFrame, limit: int) -> DataFrame:
 
 def kafka_options(config: PipelineConfig, topic: str) -> dict[str, str]:
     """Options of the streaming reader; further ones pass through from the config."""
+    limit = {"maxOffsetsPerTrigger": str(config.max_offsets_per_trigger)} if config.max_offsets_per_trigger else {}
     return {
         "kafka.bootstrap.servers": config.bootstrap_servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
+        **limit,
         **config.source_options,
     }
 
@@ -129,10 +144,47 @@ def message_batch(spark: SparkSession, config: PipelineConfig, topic: str) -> Da
 
 
 def bounded_read(messages: DataFrame, limit: int = 0) -> DataFrame:
-    """The first ``limit`` messages by partition and offset; all of them for 0."""
+    """The first ``limit`` messages by partition and offset; all of them for 0.
+
+    Nothing is sorted: counts by offset range narrow down where the last of these
+    messages lies, and a filter does the rest. Each round counts the range that holds it in
+    ``RANGES`` parts, so four rounds do for 10 ** 12 offsets.
+    """
     if limit <= 0:
         return messages
-    return messages.orderBy("partition", "offset").limit(limit)
+    cut = _last_position(messages, limit)
+    if cut is None:
+        return messages
+    partition, offset, wanted, there = cut
+    at = (F.col("partition") == partition) & (F.col("offset") == offset)
+    earlier = (F.col("partition") < partition) | ((F.col("partition") == partition) & (F.col("offset") < offset))
+    if wanted == there:
+        return messages.filter(earlier | at)
+    # Several messages of one position, as after an offset was given twice.
+    return messages.filter(earlier).unionByName(messages.filter(at).limit(wanted))
+
+
+def _last_position(messages: DataFrame, limit: int) -> tuple[int, int, int, int] | None:
+    """Partition and offset of message number ``limit``, how many are wanted there and how many there are."""
+    found = messages.groupBy("partition").agg(F.count(F.lit(1)).alias("n"), F.min("offset").alias("low"), F.max("offset").alias("high")).collect()
+    wanted = limit
+    for part in sorted(found, key=lambda r: r["partition"]):
+        if wanted <= part["n"]:
+            break
+        wanted -= part["n"]
+    else:
+        return None
+    low, high, count = part["low"], part["high"], part["n"]
+    while low < high:
+        width = -(-(high - low + 1) // RANGES)
+        inside = messages.filter((F.col("partition") == part["partition"]) & F.col("offset").between(low, high))
+        counts = inside.groupBy(F.floor((F.col("offset") - low) / width).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
+        for row in sorted(counts, key=lambda r: r["k"]):
+            if wanted <= row["n"]:
+                break
+            wanted -= row["n"]
+        low, high, count = low + row["k"] * width, min(high, low + (row["k"] + 1) * width - 1), row["n"]
+    return part["partition"], low, wanted, count
 
 
 def publish_csv(spark: SparkSession, config: PipelineConfig, path: str, topic: str, limit: int = 0) -> int:

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.latest import latest_by_key
-from tidemark.schemas import ORDER
+from tidemark.schemas import ORDER, UNREADABLE, VALID
 from tidemark.sources import fs
 
 BUCKET = "bucket"
 _VERSION = "v"
+#: What is counted of each streaming query, from its first batch on.
+PROGRESS = ("rows", "unreadable", "rejected", "rows_without_key")
 
 
 @dataclass(frozen=True)
@@ -78,6 +80,9 @@ class SnapshotTable:
             snapshot_id = ids[-1]
         return Snapshot(**json.loads(fs.read_text(self.spark, f"{self._snapshots}/{snapshot_id:010d}.json")))
 
+    def has_snapshot(self, snapshot_id: int) -> bool:
+        return snapshot_id in self._snapshot_ids()
+
     def bucket_path(self, bucket: int, version: int) -> str:
         return f"{self.path}/{_VERSION}={version}/{BUCKET}={bucket}"
 
@@ -197,28 +202,35 @@ class KeyedTable(SnapshotTable):
 
         Only buckets that receive rows are read and rewritten. A batch the query has
         already committed is left alone, and merging it again would give the same table.
-        Rows without a complete key are counted in the progress and left out.
+        Rows without a complete key are counted in the progress and left out. A batch of
+        judged rows (columns ``_valid`` and ``_unreadable``) is counted as it came: all
+        rows, unreadable ones and those the rules reject, unreadable ones among them.
         """
         current = self.snapshot()
         if current and current.layout and current.layout != self.layout():
             raise ValueError(f"the table was written with {current.layout}; rebuild it to change that")
         progress = dict(current.progress) if current else {}
-        done = progress.get(query, {"batch_id": -1, "rows": 0, "rows_without_key": 0})
+        done = {"batch_id": -1, **dict.fromkeys(PROGRESS, 0), **progress.get(query, {})}
         if query is not None and batch_id is not None and batch_id <= done["batch_id"]:
             return current
-        rows = batch.select(*self.schema.fieldNames()).withColumn(BUCKET, self._bucket_of_key()).persist()
+        judged = VALID in batch.columns
+        flags = [VALID, UNREADABLE] if judged else []
+        rows = batch.select(*self.schema.fieldNames(), *flags).withColumn(BUCKET, self._bucket_of_key()).persist()
         try:
-            counts = {r[BUCKET]: r["n"] for r in rows.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()}
-            touched = sorted(b for b in counts if b is not None)
+            valid, unreadable = (F.col(VALID), F.col(UNREADABLE)) if judged else (F.lit(True), F.lit(False))
+            counts = rows.groupBy(BUCKET, valid.alias("valid")).agg(F.count(F.lit(1)).alias("n"), F.count_if(unreadable).alias("unreadable")).collect()
+            touched = sorted({r[BUCKET] for r in counts if r["valid"] and r[BUCKET] is not None})
             if query is not None:
                 progress[query] = {
                     "batch_id": batch_id,
-                    "rows": done["rows"] + sum(counts.values()),
-                    "rows_without_key": done["rows_without_key"] + counts.get(None, 0),
+                    "rows": done["rows"] + sum(r["n"] for r in counts),
+                    "unreadable": done["unreadable"] + sum(r["unreadable"] for r in counts),
+                    "rejected": done["rejected"] + sum(r["n"] for r in counts if not r["valid"]),
+                    "rows_without_key": done["rows_without_key"] + sum(r["n"] for r in counts if r["valid"] and r[BUCKET] is None),
                 }
             elif not touched:
                 return current
-            keyed = rows.filter(F.col(BUCKET).isNotNull())
+            keyed = rows.filter(F.col(BUCKET).isNotNull() & valid).drop(*flags)
             merged = self._merge(self.read(touched, current), keyed)
             return self.replace(merged, touched, progress)
         finally:
@@ -237,7 +249,7 @@ class KeyedTable(SnapshotTable):
         return latest_by_key(placed, [BUCKET, "_file", *self.key], self.order).drop("_file")
 
     def rebuild(self, rows: DataFrame) -> Snapshot:
-        """Replace the whole table by the latest rows of ``rows``."""
+        """Replace the whole table by the latest rows of ``rows``; the counts of what streams consumed stay."""
         bucketed = rows.select(*self.schema.fieldNames()).withColumn(BUCKET, self._bucket_of_key())
         keyed = bucketed.filter(F.col(BUCKET).isNotNull())
-        return self.replace(self._merge(self.read([]), keyed), progress={})
+        return self.replace(self._merge(self.read([]), keyed))

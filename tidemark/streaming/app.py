@@ -10,23 +10,24 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import PipelineConfig
-from tidemark.operators.aggregates import merge_range_parts, range_parts
-from tidemark.operators.parse import valid_evdata, valid_location
+from tidemark.functions.numeric import mean
+from tidemark.operators.aggregates import RANGE_SUMS, range_parts
+from tidemark.operators.joins import vehicle_join
+from tidemark.operators.parse import judged_evdata, judged_location, valid_evdata, valid_location
 from tidemark.schemas import AGGREGATE_SCHEMA, EVDATA, KEY, LOCATION
 from tidemark.sources import catalog
+from tidemark.sources.additive import AdditiveTable
 from tidemark.sources.messages import message_batch, message_stream
-from tidemark.sources.tables import BUCKET, KeyedTable, Snapshot, SnapshotTable
+from tidemark.sources.tables import PROGRESS, KeyedTable, Snapshot, SnapshotTable
+from tidemark.streaming.progress import CONSUMED
 from tidemark.streaming.writers import start_upserts
 
-_PARTS_SCHEMA = T.StructType(
-    [
-        T.StructField("county", T.StringType()),
-        T.StructField("make", T.StringType()),
-        T.StructField("vehicle_count", T.LongType()),
-        T.StructField("range_count", T.LongType()),
-        T.StructField("range_sum", T.LongType()),
-    ]
-)
+_GROUPS = T.StructType(AGGREGATE_SCHEMA.fields[:2])
+
+
+def _replaced(old: Snapshot, new: Snapshot) -> set[int]:
+    """Buckets that differ between two snapshots of a table."""
+    return {int(b) for b in old.versions.keys() | new.versions.keys() if old.versions.get(b) != new.versions.get(b)}
 
 
 class VehicleTables:
@@ -48,8 +49,11 @@ class VehicleTables:
             spark, config.table_path(config.evdata_table), EVDATA.table_schema, KEY, **sizes
         )
         path = config.table_path(config.aggregate_table)
-        self.parts = SnapshotTable(spark, f"{path}_parts", _PARTS_SCHEMA, config.keep_snapshots)
-        self.aggregate = SnapshotTable(spark, path, AGGREGATE_SCHEMA, config.keep_snapshots)
+        self.aggregate = AdditiveTable(
+            spark, path, _GROUPS, RANGE_SUMS, "vehicle_count",
+            derived={"avg_electric_range": (T.DoubleType(), mean(F.col("range_sum"), F.col("range_count")))},
+            buckets=config.aggregate_buckets, keep=config.keep_snapshots, keep_seconds=config.keep_seconds,
+        )
 
     def ensure(self) -> None:
         """Create the database and catalog entries; the aggregate's is made anew."""
@@ -61,57 +65,63 @@ class VehicleTables:
         ):
             columns = T.StructType([kind.table_schema[c] for c in kind.table_columns])
             catalog.create_keyed_table(self.spark, config.qualified(name), columns, table)
-        catalog.recreate_table(
-            self.spark, config.qualified(config.aggregate_table), AGGREGATE_SCHEMA, self.aggregate
-        )
+        name = config.qualified(config.aggregate_table)
+        catalog.drop_entry(self.spark, name)
+        catalog.create_keyed_table(self.spark, name, AGGREGATE_SCHEMA, self.aggregate)
 
-    def publish_changes(self, name: str, table: KeyedTable, before: Snapshot | None, after: Snapshot | None) -> None:
-        """Bring the catalog entry of a keyed table to its new snapshot."""
+    def publish_changes(self, name: str, table: SnapshotTable, before: Snapshot | None, after: Snapshot | None) -> None:
+        """Bring the catalog entry of a table to its new snapshot."""
         if after is None:
             return
         old = before.versions if before else {}
         changed = [b for b in after.buckets() if old.get(str(b)) != after.versions[str(b)]]
-        emptied = (int(b) for b in old.keys() - after.versions.keys())
-        catalog.sync_buckets(self.spark, self.config.qualified(name), table, after, changed, emptied)
+        emptied = [int(b) for b in old.keys() - after.versions.keys()]
+        if changed or emptied:
+            catalog.sync_buckets(self.spark, self.config.qualified(name), table, after, changed, emptied)
 
     def refresh_aggregate(self) -> Snapshot | None:
-        """Bring the aggregate up to date with both keyed tables.
-
-        Both tables put a vehicle in the same bucket, so the aggregate is the sum of one
-        part per bucket and only parts of buckets that changed are joined again. Which
-        table versions each part came from is kept with the parts: a refresh that was cut
-        short is completed by the next one. While a table is missing or nothing joins,
+        """Bring the aggregate up to date with both keyed tables, by what changed since it was.
+
+        The aggregate's snapshot says which snapshots of the tables it stands for. Vehicles
+        of the buckets replaced since then are joined as they were and as they are; the
+        first are taken from their groups and the second added, so what stayed the same
+        cancels out and only buckets of groups that differ are rewritten. A refresh that
+        was cut short is made up for by the next. The aggregate is made anew when the
+        snapshots it stands for are gone. While a table is missing, or if nothing joins,
         the previous aggregate stays.
         """
-        location, evdata = self.location.snapshot(), self.evdata.snapshot()
-        if location is None or evdata is None:
+        now = {"location": self.location.snapshot(), "evdata": self.evdata.snapshot()}
+        if None in now.values():
             return None
-        seen = {
-            str(b): [location.versions.get(str(b)), evdata.versions.get(str(b))]
-            for b in set(location.buckets()) | set(evdata.buckets())
-        }
-        parts = self.parts.snapshot()
-        known = parts.sources if parts else {}
-        stale = sorted(int(b) for b in set(seen) | set(known) if known.get(b) != seen.get(b))
-        if stale:
-            joined = self.location.read(stale, location).select(KEY, "county", BUCKET).join(
-                self.evdata.read(stale, evdata).select(KEY, "make", "electric_range"), KEY
-            )
-            parts = self.parts.replace(range_parts(joined, BUCKET), stale, sources=seen)
         current = self.aggregate.snapshot()
-        if parts is None or not parts.versions:
+        known = current.sources if current else {}
+        before = {name: self._still_there(table, known.get(name)) for name, table in (("location", self.location), ("evdata", self.evdata))}
+        if before == now:
             return current
-        if current and current.sources.get("parts") == parts.id:
-            return current
-        result = merge_range_parts(self.parts.read(snapshot=parts))
-        committed = self.aggregate.replace(
-            result.withColumn(BUCKET, F.lit(0)), sources={"parts": parts.id}
-        )
-        catalog.move_table(
-            self.spark, self.config.qualified(self.config.aggregate_table), self.aggregate, committed
-        )
+        changes = all(before.values())
+        old = before if changes else dict.fromkeys(now, Snapshot(-1))
+        stale = sorted({b for name in now for b in _replaced(old[name], now[name])})
+        added = self._joined(now, stale)
+        sources = {name: snapshot.id for name, snapshot in now.items()}
+        if changes or current is None:
+            committed = self.aggregate.add(self.aggregate.change(added, self._joined(old, stale)), sources=sources, keep_if_empty=True)
+        else:
+            made = self.aggregate.change(added)
+            if made.isEmpty():
+                return current
+            committed = self.aggregate.renew(made, sources)
+        self.publish_changes(self.config.aggregate_table, self.aggregate, current, committed)
         return committed
 
+    def _still_there(self, table: KeyedTable, snapshot_id: int | None) -> Snapshot | None:
+        return table.snapshot(snapshot_id) if snapshot_id is not None and table.has_snapshot(snapshot_id) else None
+
+    def _joined(self, snapshots: dict[str, Snapshot], buckets: list[int]) -> DataFrame:
+        """Sums by county and make of the vehicles of some buckets; both tables put a vehicle in the same one."""
+        location = self.location.read(buckets, snapshots["location"])
+        evdata = self.evdata.read(buckets, snapshots["evdata"])
+        return range_parts(vehicle_join(location, evdata))
+
     def rebuild(self) -> None:
         """Replay all messages into fresh tables, in batch."""
         location = message_batch(self.spark, self.config, self.config.location_topic)
@@ -124,6 +134,15 @@ class VehicleTables:
             self.publish_changes(name, table, before, table.rebuild(rows))
         self.refresh_aggregate()
 
+    def consumed(self) -> dict[str, dict[str, int]]:
+        """What the streams consumed by table: all rows, unreadable ones, rejected ones and those without a key."""
+        out = {}
+        for name, table in ((self.config.location_table, self.location), (self.config.evdata_table, self.evdata)):
+            snapshot = table.snapshot()
+            counts = list(snapshot.progress.values()) if snapshot else []
+            out[name] = {c: sum(p.get(c, 0) for p in counts) for c in PROGRESS}
+        return out
+
     def scan(self, name: str) -> DataFrame:
         """A table as catalog readers see it."""
         return catalog.scan(self.spark, self.config.qualified(name))
@@ -142,17 +161,17 @@ def start_streams(
     lock = threading.Lock()
     interval = config.trigger if trigger == "default" else trigger
 
-    def writer(topic: str, valid, name: str, table: KeyedTable) -> StreamingQuery:
+    def writer(topic: str, judged, name: str, table: KeyedTable) -> StreamingQuery:
         def after(before: Snapshot | None, committed: Snapshot | None) -> None:
             tables.publish_changes(name, table, before, committed)
             tables.refresh_aggregate()
 
-        rows = valid(message_stream(spark, config, topic))
-        return start_upserts(rows, table, config.checkpoint_path(name), interval, lock, after)
+        rows = judged(message_stream(spark, config, topic).observe(CONSUMED, F.count(F.lit(1)).alias("rows")))
+        return start_upserts(rows, table, config.checkpoint_path(name), interval, lock, after, name=name)
 
     queries = [
-        writer(config.location_topic, valid_location, config.location_table, tables.location),
-        writer(config.evdata_topic, valid_evdata, config.evdata_table, tables.evdata),
+        writer(config.location_topic, judged_location, config.location_table, tables.location),
+        writer(config.evdata_topic, judged_evdata, config.evdata_table, tables.evdata),
     ]
     return tables, queries
 

@@ -7,15 +7,17 @@ from collections.abc import Callable
 from contextlib import nullcontext
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.sources.tables import BUCKET, KeyedTable, Snapshot, SnapshotTable
+from tidemark.sources.additive import AdditiveTable
+from tidemark.sources.tables import KeyedTable, Snapshot
 
 
-def _start(writer, checkpoint: str, trigger: str | None) -> StreamingQuery:
+def _start(writer, checkpoint: str, trigger: str | None, name: str | None = None) -> StreamingQuery:
     """Start with a processing-time trigger, or read what is there and stop."""
     writer = writer.option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
     if trigger:
         return writer.trigger(processingTime=trigger).start()
     return writer.trigger(availableNow=True).start()
@@ -34,6 +36,7 @@ def start_upserts(
     lock: threading.Lock | None = None,
     after: Callable[[Snapshot | None, Snapshot | None], None] | None = None,
     output_mode: str = "append",
+    name: str | None = None,
 ) -> StreamingQuery:
     """Merge every micro-batch into a keyed table.
 
@@ -48,18 +51,22 @@ def start_upserts(
             if after:
                 after(before, committed)
 
-    return _start(rows.writeStream.outputMode(output_mode).foreachBatch(merge), checkpoint, trigger)
+    return _start(rows.writeStream.outputMode(output_mode).foreachBatch(merge), checkpoint, trigger, name)
 
 
-def start_replacing(
-    result: DataFrame, table: SnapshotTable, checkpoint: str, trigger: str | None = "10 seconds"
+def start_counts(
+    rows: DataFrame,
+    table: AdditiveTable,
+    counts: Callable[[DataFrame], DataFrame],
+    checkpoint: str,
+    trigger: str | None = "10 seconds",
 ) -> StreamingQuery:
-    """Keep the whole result of a streaming aggregation as the table's content."""
+    """Add the counts of every micro-batch to a table of sums; the rows are not aggregated in state."""
 
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        table.replace(batch.withColumn(BUCKET, F.lit(0)))
+    def add(batch: DataFrame, batch_id: int) -> None:
+        table.add_batch(batch, _query_id(batch), batch_id, counts)
 
-    return _start(result.writeStream.outputMode("complete").foreachBatch(replace), checkpoint, trigger)
+    return _start(rows.writeStream.foreachBatch(add), checkpoint, trigger)
 
 
 def start_append(
