@@ -7,8 +7,8 @@ with a word pair that no test item has, or are cut short by one, cannot match an
 left out of the sort; this drops no match.
 
 Words are runs of ASCII letters, ASCII digits and non-ASCII characters, A-Z as a-z. Null
-texts have no words; test items with a null id or no words are left out. Test items are
-sent to the tasks in blocks of a bounded size, each block looked up in all texts and its
+texts have no words; test items without words are left out, those with a null id count
+like the others but have no name to be listed by. Test items are sent to the tasks in blocks of a bounded size, each block looked up in all texts and its
 result written before the next block is collected.
 """
 
@@ -55,7 +55,7 @@ class TestSuffixes:
     item: dict[int, np.ndarray] = field(default_factory=dict)
     place: dict[int, np.ndarray] = field(default_factory=dict)
     first_words: dict[int, np.ndarray] = field(default_factory=dict)
-    names: list[str] = field(default_factory=list)
+    names: list[str | None] = field(default_factory=list)
 
 
 def _pair_slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -69,7 +69,7 @@ def _keys(ids: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     return np.ascontiguousarray(rows).view(f"S{4 * length}").ravel()
 
 
-def index_items(items: list[tuple[str, bytes]], window: int = WINDOW) -> TestSuffixes:
+def index_items(items: list[tuple[str | None, bytes]], window: int = WINDOW) -> TestSuffixes:
     vocabulary: dict[bytes, int] = {}
     texts = [(name, [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text)]) for name, text in items]
     texts = [(name, np.array(ids, dtype=np.int64)) for name, ids in texts if ids]
@@ -161,8 +161,9 @@ def _by_text(found, hit, doc, ends, lengths, names) -> list[dict]:
     for head, words in zip(heads.tolist(), long.tolist()):
         own = out[int(doc[place[head]])]
         name, first = names[item[head]], int(place[head] - begin[doc[place[head]]])
-        own["items"].append(name)
-        if (-words, first, name) < (-own["longest_words"], own["longest_first"] or 0, own["longest_item"] or ""):
+        if name is not None:
+            own["items"].append(name)
+        if (-words, first, name or "") < (-own["longest_words"], own["longest_first"] or 0, own["longest_item"] or ""):
             own |= {"longest_words": words, "longest_first": first, "longest_item": name}
     for row in out:
         row["items"] = sorted(set(row["items"]))
@@ -236,7 +237,7 @@ def with_matches(
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_id).cast("string").alias("name"), F.col(item_text).cast("binary").alias("body"))
-    items = items.filter("name is not null and body is not null")
+    items = items.filter("body is not null")
     total = items.agg(F.coalesce(F.sum(F.length("body")), F.lit(0))).first()[0]
     count = max(1, -(-total // block_bytes))
     if count > 1:
