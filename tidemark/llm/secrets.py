@@ -3,8 +3,9 @@
 Patterns find assignments to telling names, access keys and long hexadecimal runs. Other
 long strings are judged by two first-order Markov models of characters, one of random
 strings and one of ordinary identifiers: a string is a secret if the log-likelihood ratio
-of the two exceeds a threshold. Where a string as a whole is no secret, its parts between
-/ = _ and - are judged by the same threshold.
+of the two exceeds a threshold. So are its parts between / = _ and -: a secret reaches from
+the first of them that is one to the last, or is each such part where the string as a
+whole is none. What a base span takes of a string is left out and the rest judged.
 
 The models learn from labelled samples of bounded size: random strings are made from
 hashes of row numbers (hexadecimal, base 64, and letters with digits); ordinary
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.spans import NONE, in_order, matches, overlaps
+from tidemark.llm.spans import NONE, in_order, matches, moved, overlaps
 
 KINDS = ["assign", "access", "hex", "random"]
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
@@ -120,12 +121,30 @@ def secrets(text: Column, log_odds: list[float], settings: MarkovSettings = Mark
 
 def candidates(text: Column, settings: MarkovSettings = MarkovSettings()) -> Column:
     """Maximal runs of the alphabet that are long enough to be judged."""
-    pattern = rf"[A-Za-z0-9+/_=-]{{{settings.min_length},}}"
-    return matches(F.coalesce(text, F.lit("")), pattern, "random")
+    return matches(F.coalesce(text, F.lit("")), _run_pattern(settings), "random")
+
+
+def _run_pattern(settings: MarkovSettings) -> str:
+    return rf"[A-Za-z0-9+/_=-]{{{settings.min_length},}}"
+
+
+def _blanked(value: Column, start: Column, end: Column) -> Column:
+    """The value with spaces from ``start`` to ``end``."""
+    return F.concat(F.substring(value, F.lit(1), start), F.repeat(F.lit(" "), end - start), F.substring(value, end + 1, F.char_length(value)))
 
 
 def _with_random(base: Column, long_runs: Column, log_odds: list[float], settings: MarkovSettings) -> Column:
-    free = F.filter(long_runs, lambda s: ~overlaps(s, base))
+    def without_base(run: Column) -> Column:
+        """What is left of a run outside of the base spans."""
+        blanked = F.aggregate(
+            F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])),
+            run["value"],
+            lambda value, b: _blanked(value, F.greatest(b["start"] - run["start"], F.lit(0)), F.least(b["end"], run["end"]) - run["start"]),
+        )
+        left = matches(blanked, _run_pattern(settings), "random")
+        return F.when(overlaps(run, base), F.transform(left, lambda s: moved(s, run["start"]))).otherwise(F.array(run))
+
+    free = F.flatten(F.transform(long_runs, without_base))
     part = rf"[A-Za-z0-9+]{{{settings.min_length},}}"
 
     def is_random(span: Column) -> Column:
@@ -134,10 +153,13 @@ def _with_random(base: Column, long_runs: Column, log_odds: list[float], setting
 
     def judged(run: Column) -> Column:
         parts = F.filter(matches(run["value"], part, "random", run["value"].rlike("[/=_-]")), is_random)
-        moved = F.transform(parts, lambda p: F.struct(p["kind"].alias("kind"), (run["start"] + p["start"]).alias("start"), (run["start"] + p["end"]).alias("end"), p["value"].alias("value")))
-        return F.when(is_random(run), F.array(run)).otherwise(moved)
+        placed = F.transform(parts, lambda p: moved(p, run["start"]))
+        begin, end = F.element_at(parts, 1)["start"], F.element_at(parts, -1)["end"]
+        inner = F.struct(run["kind"].alias("kind"), (run["start"] + begin).alias("start"), (run["start"] + end).alias("end"), F.substring(run["value"], begin + 1, end - begin).alias("value"))
+        whole = F.when(F.size(parts) > 0, F.array(inner)).otherwise(F.array(run))
+        return F.when(is_random(run), whole).otherwise(placed)
 
-    random = F.flatten(F.transform(free, judged))
+    random = F.flatten(F.transform(free, lambda run: F.element_at(F.transform(F.array(run), judged), 1)))
     return in_order(F.concat(base, random), KINDS)
 
 
