@@ -1,7 +1,8 @@
 """Personal data by weak supervision, with DataFrame functions only.
 
 Fixed patterns give the base spans. Looser patterns add candidates: numbers written like
-phone numbers or ids, spelled-out e-mail addresses, names after a form of address, and
+phone numbers or ids, spelled-out e-mail addresses, names after a form of address in four
+languages, and
 what failed a base rule. Four labelers vote on every candidate: the pattern and its check, a
 gazetteer, the words before it, and its shape; each may abstain. Expectation-maximisation
 over the counts of vote patterns in all texts estimates how reliable each labeler is, and
@@ -33,12 +34,22 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 LOOSE_PHONE = r"(?<![A-Za-z0-9.+-])\(?[0-9]{2,4}\)?(?:[\x20.-][0-9]{2,4}){2,4}(?![A-Za-z0-9])"
 LOOSE_ID = r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"
-LOOSE_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|[\[(](?:dot|DOT)[\])])\x20?[A-Za-z0-9-]{1,63}){1,8}"
-LOOSE_NAME = r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof|Mme|Mlle|Herr|Frau)\.?\x20[A-Z][a-z]{1,20}(?:\x20[A-Z][a-z]{1,20})?(?![a-z])"
+LOOSE_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|[\[(](?:dot|DOT)[\])])\x20?[A-Za-z0-9-]++)+"
+LOOSE_NAME = r"(?<!\p{L})(?:Mrs?|Ms|Miss|Dr|Prof|Mme|Mlle|M|Herrn?|Frau|Sra?|Srta|Doña|Don)\.?\x20(?:(?:de|del|la|von|van|der|du|le)\x20)*\p{Lu}[\p{L}’'-]++(?:\x20(?:(?:de|del|la|von|van|der|du|le)\x20)*\p{Lu}[\p{L}’'-]++)*"
 
 #: Words of the labelers.
 DOMAIN_ENDS = ["com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "eu", "example"]
-FIRST_NAMES = ["Anna", "David", "Emma", "James", "Jean", "John", "Julia", "Laura", "Maria", "Mary", "Michael", "Paul", "Peter", "Robert", "Sarah", "Thomas"]
+FIRST_NAMES = [
+    "Alice", "Amy", "Andrew", "Anna", "Barbara", "Brian", "Charles", "Christopher", "Daniel", "David", "Edward", "Elizabeth", "Emily", "Emma", "George", "Grace",
+    "Helen", "Henry", "Jack", "James", "Jane", "Jennifer", "John", "Joseph", "Karen", "Kevin", "Linda", "Lisa", "Margaret", "Mark", "Mary", "Michael",
+    "Nancy", "Olivia", "Patricia", "Paul", "Richard", "Robert", "Ruth", "Sarah", "Steven", "Susan", "Thomas", "William",
+    "Andreas", "Birgit", "Brigitte", "Christian", "Claudia", "Dieter", "Elke", "Frank", "Friedrich", "Gisela", "Hans", "Heike", "Heinz", "Ingrid", "Jürgen", "Julia", "Karl",
+    "Klaus", "Lena", "Lukas", "Markus", "Monika", "Peter", "Petra", "Renate", "Sabine", "Stefan", "Thorsten", "Uwe", "Wolfgang",
+    "Alain", "Amélie", "Antoine", "Camille", "Catherine", "Céline", "Chloé", "Claire", "Élodie", "François", "Geneviève", "Gérard", "Guillaume", "Hélène", "Isabelle", "Jacques", "Jean",
+    "Julien", "Laurent", "Louis", "Marie", "Mathieu", "Nathalie", "Nicolas", "Olivier", "Philippe", "Pierre", "Sophie", "Sylvie", "Théo",
+    "Alejandro", "Ana", "Antonio", "Beatriz", "Carlos", "Carmen", "Diego", "Dolores", "Elena", "Fernando", "Francisco", "Isabel", "Javier", "José", "Juan", "Laura",
+    "Lucía", "Luis", "Manuel", "María", "Maria", "Miguel", "Pablo", "Pedro", "Pilar", "Rafael", "Raúl", "Rosa", "Sofía", "Teresa",
+]
 TELLING = r"(?i)(?:e-?mail|contact|write|phone|tel|call|mobile|fax|card|visa|ip|host|address|ssn|social|dear|signed)[^\n]{0,12}$"
 MISLEADING = r"(?i)(?:version|isbn|total|price|page|chapter|section|figure|order|serial)[^\n]{0,12}$"
 
@@ -155,7 +166,7 @@ def with_candidates(docs: DataFrame, result: str, text: str = "text") -> DataFra
     strict = F.transform(F.col("__s.strict"), lambda s: F.struct(s.alias("span"), passes(s).alias("ok")))
     step = step.select(*names, F.explode(F.array(F.struct("__s.body", "__s.loose", strict.alias("strict")))).alias("__s"))
     base = F.transform(F.filter("__s.strict", lambda s: s["ok"]), lambda s: s["span"])
-    failed = F.transform(F.filter("__s.strict", lambda s: ~s["ok"] & (F.char_length(s["span"]["value"]) >= 7)), lambda s: s["span"])
+    failed = F.transform(F.filter("__s.strict", lambda s: ~s["ok"]), lambda s: s["span"])
     step = step.select(*names, F.explode(F.array(F.struct("__s.body", "__s.loose", base.alias("base"), failed.alias("failed")))).alias("__s"))
     base, failed, loose, whole = (F.col(f"__s.{n}") for n in ("base", "failed", "loose", "body"))
     free = F.filter(loose, lambda s: ~overlaps(s, base))
