@@ -1,6 +1,6 @@
 """Licence notices by the Dice coefficient of word bigrams, with DataFrame functions only.
 
-Lines and blank-line-separated paragraphs of a text are normalised (a-z and 0-9 in lower
+Lines, the sentences of lines that have several, and blank-line-separated paragraphs of a text are normalised (a-z and 0-9 in lower
 case, all else a space) and compared to the templates as sets of word bigrams. Sizes
 bound the coefficient: sets of n and m bigrams reach t only if m lies between n*t/(2-t)
 and n*(2-t)/t, so templates outside are never compared. A segment that reaches t with a
@@ -73,10 +73,20 @@ def _has_any(text: Column, parts: list[str]) -> Column:
     return F.exists(F.array(text), lambda t: reduce(or_, [t.contains(p) for p in parts]))
 
 
+#: Where one sentence of a line ends and the next begins.
+SENTENCE_END = "[.!?;]+[ \\t\\r]+"
+
+
 def segments(text: Column) -> Column:
-    """Distinct lines and paragraphs; a null text has none."""
+    """Distinct lines, sentences of lines that have several, and paragraphs; a null text has none."""
     lines, paragraphs = F.split(text, "\n", -1), F.split(text, "\n[ \t\r]*\n", -1)
-    return F.array_distinct(F.when(text.contains("\n"), F.concat(lines, paragraphs)).otherwise(lines))
+
+    def sentences(line: Column) -> Column:
+        some = F.filter(F.split(line, SENTENCE_END, -1), lambda s: s != "")
+        return F.element_at(F.transform(F.array(some), lambda s: F.when(F.size(s) > 1, s).otherwise(F.array().cast("array<string>"))), 1)
+
+    parts = F.flatten(F.transform(lines, sentences))
+    return F.array_distinct(F.when(text.contains("\n"), F.concat(lines, parts, paragraphs)).otherwise(F.concat(lines, parts)))
 
 
 def _normalised(segment: Column) -> Column:
@@ -99,7 +109,8 @@ def scan_licenses(
 ) -> DataFrame:
     """One row per document row and distinct matching segment: key, segment, license, dice.
 
-    Each segment goes to its best template, ties to the first name. Templates need two
+    A notice that makes up nearly all of a line, of a sentence or of a paragraph is found,
+    in texts of any length. Repeated rows each have their own. Each segment goes to its best template, ties to the first name. Templates need two
     words at least. Row by row, without a join or a shuffle; texts without a match, empty
     and null ones give no row. Other columns of ``docs`` are left out.
     """
@@ -111,7 +122,7 @@ def scan_licenses(
     found = (
         docs.filter(_has_any(F.lower(text), words))
         .select(F.col(key).alias("k"), F.explode(segments(F.col(text))).alias("segment"))
-        .filter((F.char_length("segment") > 3) & _has_any(F.lower("segment"), words))
+        .filter((F.char_length("segment") >= 3) & _has_any(F.lower("segment"), words))
         .select("k", "segment", F.explode(F.array(_normalised(F.col("segment")))).alias("n"))
         .filter(_has_any(F.col("n"), [f" {a} " for a in wanted]))
         .select("k", "segment", F.explode(F.array(_bigrams(F.col("n")))).alias("b"))
@@ -138,6 +149,8 @@ def oracle_sql(templates: Mapping[str, str] = TEMPLATES, threshold: float = THRE
     return f"""
 WITH t(license, tb) AS (VALUES {rows}),
 s AS (SELECT doc_id, unnest(list_distinct(list_concat(string_split(text, chr(10)),
+        flatten(list_transform(string_split(text, chr(10)), lambda line: CASE WHEN len(list_filter(regexp_split_to_array(line, '[.!?;]+[ \\t\\r]+'), lambda p: p <> '')) > 1
+          THEN list_filter(regexp_split_to_array(line, '[.!?;]+[ \\t\\r]+'), lambda p: p <> '') ELSE [] END)),
         CASE WHEN contains(text, chr(10)) THEN regexp_split_to_array(text, '\\n[ \\t\\r]*\\n') ELSE [] END))) AS segment FROM documents),
 w AS (SELECT doc_id, segment, string_split(trim(regexp_replace(lower(segment), '[^a-z0-9]+', ' ', 'g')), ' ') AS words FROM s),
 b AS (SELECT doc_id, segment, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS b FROM w),
