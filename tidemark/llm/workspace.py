@@ -1,38 +1,13 @@
-"""Tables written between steps, and the code that executors import."""
+"""Tables written between steps."""
 
 from __future__ import annotations
 
-import io
-import os
-import tempfile
-import zipfile
-from pathlib import Path
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-
-from tidemark.session import new_run_dir
+from tidemark.session import new_run_dir, ship_package
 from tidemark.sources import fs
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Let executors import this package, also where it is not installed there.
-
-    The archive goes through Spark's own file server, once per application.
-    """
-    application = spark.sparkContext.applicationId
-    if application in _shipped:
-        return
-    root = Path(__file__).resolve().parents[1]
-    packed = io.BytesIO()
-    with zipfile.ZipFile(packed, "w") as archive:
-        for source in sorted(root.rglob("*.py")):
-            archive.write(source, source.relative_to(root.parent))
-    path = os.path.join(tempfile.mkdtemp(prefix="tidemark-code-"), f"{root.name}.zip")
-    Path(path).write_bytes(packed.getvalue())
-    spark.sparkContext.addPyFile(path)
-    _shipped.add(application)
+__all__ = ["drop_table", "materialize", "ship_package"]
 
 
 def materialize(frame: DataFrame, label: str) -> DataFrame:
