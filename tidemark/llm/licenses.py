@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 from operator import or_
 
@@ -77,16 +77,23 @@ def _has_any(text: Column, parts: list[str]) -> Column:
 SENTENCE_END = "[.!?;]+[ \\t\\r]+"
 
 
-def segments(text: Column) -> Column:
-    """Distinct lines, sentences of lines that have several, and paragraphs; a null text has none."""
+def segments(text: Column, marked: Callable[[Column], Column]) -> Column:
+    """Distinct lines, sentences of lines that have several, and paragraphs, of those that are ``marked``."""
     lines, paragraphs = F.split(text, "\n", -1), F.split(text, "\n[ \t\r]*\n", -1)
+    whole = F.array_distinct(F.when(text.contains("\n"), F.concat(lines, paragraphs)).otherwise(lines))
 
     def sentences(line: Column) -> Column:
-        some = F.filter(F.split(line, SENTENCE_END, -1), lambda s: s != "")
-        return F.element_at(F.transform(F.array(some), lambda s: F.when(F.size(s) > 1, s).otherwise(F.array().cast("array<string>"))), 1)
+        return F.filter(F.split(line, SENTENCE_END, -1), lambda s: s != "")
 
-    parts = F.flatten(F.transform(lines, sentences))
-    return F.array_distinct(F.when(text.contains("\n"), F.concat(lines, parts, paragraphs)).otherwise(F.concat(lines, parts)))
+    def several(line: Column) -> Column:
+        some = F.transform(F.array(sentences(line)), lambda s: F.when(F.size(s) > 1, s).otherwise(F.array().cast("array<string>")))
+        return F.when(line.contains("\n"), F.array().cast("array<string>")).otherwise(F.element_at(some, 1))
+
+    def with_sentences(chosen: Column) -> Column:
+        return F.when(F.size(chosen) == 0, chosen).otherwise(F.array_distinct(F.concat(chosen, F.flatten(F.transform(chosen, several)))))
+
+    # The array of one element gives the marked segments a name: they are worked out once.
+    return F.element_at(F.transform(F.array(F.filter(whole, marked)), with_sentences), 1)
 
 
 def _normalised(segment: Column) -> Column:
@@ -119,10 +126,14 @@ def scan_licenses(
     wanted = sorted({a for s in sets.values() for a in anchors(s, threshold)})
     low, high = min(b[0] for b in bounds.values()), max(b[1] for b in bounds.values())
     words = marks(wanted)
+
+    def marked(segment: Column) -> Column:
+        return _has_any(F.lower(segment), words)
+
     found = (
         docs.filter(_has_any(F.lower(text), words))
-        .select(F.col(key).alias("k"), F.explode(segments(F.col(text))).alias("segment"))
-        .filter((F.char_length("segment") >= 3) & _has_any(F.lower("segment"), words))
+        .select(F.col(key).alias("k"), F.explode(segments(F.col(text), marked)).alias("segment"))
+        .filter(marked(F.col("segment")))
         .select("k", "segment", F.explode(F.array(_normalised(F.col("segment")))).alias("n"))
         .filter(_has_any(F.col("n"), [f" {a} " for a in wanted]))
         .select("k", "segment", F.explode(F.array(_bigrams(F.col("n")))).alias("b"))
