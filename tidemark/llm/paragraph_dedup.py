@@ -7,7 +7,7 @@ are compared by the exact Jaccard coefficient of their word n-grams. Those of fe
 ``passage_words`` words anywhere in a text, at places that the words themselves choose:
 where the hash of three words is least among ``spacing`` neighbours. Any text shared word
 for word over passage_words + spacing - 1 words (51 as set) holds at least one common
-passage, wherever it stands; equal passages are found by a hash and verified by a longer one.
+passage, wherever it stands; equal passages are found by a hash and told apart by 128 bits of their words.
 A repeated passage is reported with the words around it that equal those around the kept one.
 
 Verified links make components; of each, the first unit stays and the others are removed.
@@ -15,7 +15,9 @@ A paragraph that shares words with the kept one (a line of it, or it a line of t
 stays too. Texts that are wholly equal are treated as one, and the later ones removed whole. Units
 of a group are compared where they meet and pairs are never emitted.
 
-Words are runs of characters other than white space, A-Z as a-z. Null texts have no units.
+Words are runs of characters other than white space, A-Z as a-z. Null and empty texts have
+no units. Very long texts are cut into units like any other; a repeated row is a copy of
+its text, and a null key comes after all others.
 """
 
 from __future__ import annotations
@@ -32,7 +34,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.components import connected_components
 from tidemark.llm.groups import forest_labels, meet, pairs_at, whole_groups
 from tidemark.llm.words import MinHasher, blocks, join_texts, mix64, shingle_hashes, span_hashes, word_spans
-from tidemark.llm.workspace import materialize
+from tidemark.llm.skew import attach
+from tidemark.llm.workspace import drop_table, materialize
 
 
 @dataclass(frozen=True)
@@ -54,7 +57,8 @@ class ParagraphSettings:
 
 
 #: ``passage_first`` holds the places of each distinct key side by side: ``passage_n`` of them from ``passage_at``.
-UNITS = "struct<passage_first:array<int>,passage_key:array<bigint>,passage_at:array<int>,passage_n:array<int>,par_first:array<int>,par_end:array<int>,par_bands:array<array<bigint>>,n_words:int>"
+#: Key and check of a passage, and high and low of a paragraph, are 128 bits of all its words.
+UNITS = "struct<passage_first:array<int>,passage_key:array<bigint>,passage_check:array<bigint>,passage_at:array<int>,passage_n:array<int>,par_first:array<int>,par_end:array<int>,par_bands:array<array<bigint>>,par_high:array<bigint>,par_low:array<bigint>,n_words:int>"
 
 
 def _sliding(values: np.ndarray, width: int, least) -> np.ndarray:
@@ -95,10 +99,12 @@ def _units(texts: list[bytes], settings: ParagraphSettings) -> list[dict]:
     place = _anchors(words, doc, settings)
     place = place[place + settings.passage_words <= first[1:][doc[place]]] if len(place) else place
     key = shingle_hashes(words, settings.passage_words)[place].astype(np.int64) if len(place) else np.zeros(0, dtype=np.int64)
+    # A second hash of the same words, from other bits of theirs.
+    check = shingle_hashes(mix64(words ^ _OTHER_BITS), settings.passage_words)[place].astype(np.int64) if len(place) else key
     # Equal ones of a text side by side: only their number goes through the shuffles.
     owner = doc[place]
     order = np.lexsort((place, key, owner))
-    place, key, owner = place[order], key[order], owner[order]
+    place, key, check, owner = place[order], key[order], check[order], owner[order]
     head_at = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]))) if len(place) else place
     size = np.diff(np.append(head_at, len(place)))
     every, some = np.arange(len(texts) + 1), owner[head_at]
@@ -107,6 +113,7 @@ def _units(texts: list[bytes], settings: ParagraphSettings) -> list[dict]:
     line = np.cumsum(data == 10)[starts] if len(starts) else np.zeros(0, dtype=np.int64)
     head, tail = _paragraphs(line, doc)
     bands = _keys(words, head, tail, settings)
+    high, low = _digests(words, head, tail)
     par_cut = np.searchsorted(head, first)
     out = []
     for i in range(len(texts)):
@@ -116,17 +123,31 @@ def _units(texts: list[bytes], settings: ParagraphSettings) -> list[dict]:
             {
                 "passage_first": (place[a:b] - base).tolist(),
                 "passage_key": key[head_at[e:f]].tolist(),
+                "passage_check": check[head_at[e:f]].tolist(),
                 "passage_at": (head_at[e:f] - a).tolist(),
                 "passage_n": size[e:f].tolist(),
                 "par_first": (head[c:d] - base).tolist(),
                 "par_end": (tail[c:d] - base).tolist(),
                 "par_bands": bands[c:d],
+                "par_high": high[c:d],
+                "par_low": low[c:d],
                 "n_words": int(first[i + 1] - base),
             }
         )
     return out
 
 
+_OTHER_BITS = np.uint64(0x6A09E667F3BCC909)
+
+
+def _digests(words: np.ndarray, head: np.ndarray, tail: np.ndarray) -> tuple[list[int], list[int]]:
+    """128 bits of the words of each paragraph [head, tail), as two numbers."""
+    body = memoryview(words.tobytes())
+    packed = b"".join(hashlib.blake2b(body[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(head.tolist(), tail.tolist()))
+    numbers = np.frombuffer(packed, dtype="<i8").reshape(-1, 2)
+    return numbers[:, 0].tolist(), numbers[:, 1].tolist()
+
+
 def _paragraphs(line: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ends of the lines that have words and of the groups of several of them without a blank line between."""
     if not len(line):
@@ -175,35 +196,37 @@ def _bands(words: np.ndarray, head: np.ndarray, tail: np.ndarray, settings: Para
     return packed.astype(np.int64)
 
 
-def _details(texts: list[bytes], firsts: list[list[int]], ends: list[list[int]], kinds: list[list[str]], settings: ParagraphSettings) -> list[list[dict]]:
-    """For units of each text: a 128-bit key of the words, and a paragraph's distinct n-grams.
+def _details(texts: list[bytes], asked: list[list[dict]], settings: ParagraphSettings) -> list[list[dict]]:
+    """For paragraphs their distinct n-grams; for passages the words before and after.
 
-    For passages also the words before and after, nearest first, as 32 bits of their hashes:
-    a shared run goes on for less than ``spacing`` words beyond its outermost anchors.
+    Those come nearest first, as 32 bits of their hashes: a shared run goes on for less
+    than ``spacing`` words beyond its outermost anchors.
     """
     _, _, words, begin, _ = _layout(texts)
     shingles = shingle_hashes(words, settings.shingle_words)
     short = (words >> np.uint64(32)).astype(np.uint32).view(np.int32)
     around = settings.spacing - 1
     out = []
-    for i in range(len(texts)):
+    for i, units in enumerate(asked):
         own = []
-        for a, b, kind in zip(firsts[i], ends[i], kinds[i]):
-            low, high = begin[i] + a, begin[i] + b
-            digest = hashlib.blake2b(words[low:high].tobytes(), digest_size=16).digest()
-            banded = kind == "paragraph" and b - a >= max(settings.min_words, settings.shingle_words)
-            grams = np.unique(shingles[low : high - settings.shingle_words + 1]).astype(np.int64).tolist() if banded else []
-            own.append({"high": int.from_bytes(digest[:8], "big", signed=True), "low": int.from_bytes(digest[8:], "big", signed=True), "grams": grams, "before": None, "after": None})
-            if kind == "passage":
-                own[-1]["before"] = short[max(begin[i], low - around) : low][::-1].tolist()
-                own[-1]["after"] = short[high : min(begin[i + 1], high + around)].tolist()
+        for unit in units:
+            low, high = begin[i] + unit["first"], begin[i] + unit["end"]
+            if unit["kind"] == "passage":
+                own.append({"grams": None, "before": short[max(begin[i], low - around) : low][::-1].tolist(), "after": short[high : min(begin[i + 1], high + around)].tolist()})
+            else:
+                own.append({"grams": np.unique(shingles[low : high - settings.shingle_words + 1]).astype(np.int64).tolist(), "before": None, "after": None})
         out.append(own)
     return out
 
 
 def _unit_columns(text, settings: ParagraphSettings):
     ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
-    kind = pa.struct([("passage_first", ints), ("passage_key", longs), ("passage_at", ints), ("passage_n", ints), ("par_first", ints), ("par_end", ints), ("par_bands", pa.list_(longs)), ("n_words", pa.int32())])
+    kind = pa.struct(
+        [
+            ("passage_first", ints), ("passage_key", longs), ("passage_check", longs), ("passage_at", ints), ("passage_n", ints),
+            ("par_first", ints), ("par_end", ints), ("par_bands", pa.list_(longs)), ("par_high", longs), ("par_low", longs), ("n_words", pa.int32()),
+        ]
+    )
 
     @F.arrow_udf(UNITS)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -219,16 +242,15 @@ def _unit_columns(text, settings: ParagraphSettings):
 
 def _detail_columns(text, units, settings: ParagraphSettings):
     ints = pa.list_(pa.int32())
-    detail = pa.struct([("high", pa.int64()), ("low", pa.int64()), ("grams", pa.list_(pa.int64())), ("before", ints), ("after", ints)])
+    detail = pa.struct([("grams", pa.list_(pa.int64())), ("before", ints), ("after", ints)])
 
-    @F.arrow_udf("array<struct<high:bigint,low:bigint,grams:array<bigint>,before:array<int>,after:array<int>>>")
+    @F.arrow_udf("array<struct<grams:array<bigint>,before:array<int>,after:array<int>>>")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for body, unit in batches:
             texts, asked = body.to_pylist(), unit.to_pylist()
             rows: list[list[dict]] = []
             for a, b in blocks(texts):
-                part = asked[a:b]
-                rows += _details(texts[a:b], *([[u[name] for u in us] for us in part] for name in ("first", "end", "kind")), settings)
+                rows += _details(texts[a:b], asked[a:b], settings)
             yield pa.array(rows, pa.list_(detail))
 
     return run.asNondeterministic()(text.cast("binary"), units)
@@ -257,35 +279,49 @@ def _compare(batches: Iterator[pa.RecordBatch], settings: ParagraphSettings) ->
             yield pa.RecordBatch.from_arrays([pa.array(member[moved]), pa.array(member[labels[moved]])], ["u", "v"])
 
 
-def _runs(again: DataFrame, words: DataFrame) -> DataFrame:
-    """Repeated passages as runs that equal the kept row ``shift`` words earlier, as long as they go.
+SAME = ["row", "kept_row", "shift"]
+
+
+def _along():
+    """The passages of a text that equal one kept text at one distance, in order."""
+    return Window.partitionBy(*SAME).orderBy("first", "end")
 
-    Passages that overlap at the same shift are one run. Its first and last one are
-    prolonged by the equal words around, and runs that then meet are one.
+
+def _run_ends(again: DataFrame) -> DataFrame:
+    """First and last passages of the runs that equal the kept row ``shift`` words earlier.
+
+    Passages that overlap at the same shift are one run; inside it the words around are
+    those of the neighbours.
+    """
+    ends = again.withColumn("opens", F.coalesce(F.lag("end").over(_along()) < F.col("first"), F.lit(True))).withColumn("closes", F.coalesce(F.lead("first").over(_along()) > F.col("end"), F.lit(True)))
+    return ends.withColumn("run", F.sum(F.col("opens").cast("int")).over(_along())).filter("opens or closes")
+
+
+def _runs(ends: DataFrame, words: DataFrame) -> DataFrame:
+    """Repeated passages as runs, as long as they go.
+
+    The first and last passage of a run are prolonged by the equal words around, and runs
+    that then meet are one.
     """
-    same = ["row", "kept_row", "shift"]
-    order = Window.partitionBy(*same).orderBy("first", "end")
-    ends = again.withColumn("opens", F.coalesce(F.lag("end").over(order) < F.col("first"), F.lit(True))).withColumn("closes", F.coalesce(F.lead("first").over(order) > F.col("end"), F.lit(True)))
-    # Inside a run the words around are those of the neighbours.
-    ends = ends.withColumn("run", F.sum(F.col("opens").cast("int")).over(order)).filter("opens or closes")
     own = words.join(ends, "unit").drop("unit")
-    other = words.select(F.col("unit").alias("kept_unit"), F.col("before").alias("kept_before"), F.col("after").alias("kept_after"))
+    asked = ends.groupBy("kept_unit").agg(F.count(F.lit(1)).alias("asked"))
+    other = words.select(F.col("unit").alias("kept_unit"), F.col("before").alias("kept_before"), F.col("after").alias("kept_after")).join(asked, "kept_unit")
 
     def equal(left: str, right: str):
         both = F.zip_with(left, right, lambda a, b: F.coalesce(a == b, F.lit(False)))
         stop = F.array_position(both, False).cast("int")
         return F.when(stop == 0, F.size(both)).otherwise(stop - 1)
 
-    longer = own.join(other, "kept_unit").select(
-        *same, "run", "key", "kept_key", (F.col("first") - F.when(F.col("opens"), equal("before", "kept_before")).otherwise(0)).alias("first"),
+    longer = attach(own, other, ["kept_unit"], "asked", ends.count()).select(
+        *SAME, "run", "key", "kept_key", (F.col("first") - F.when(F.col("opens"), equal("before", "kept_before")).otherwise(0)).alias("first"),
         (F.col("end") + F.when(F.col("closes"), equal("after", "kept_after")).otherwise(0)).alias("end"),
     )
 
     def joined(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*same, "run").agg(F.first("key").alias("key"), F.first("kept_key").alias("kept_key"), F.min("first").alias("first"), F.max("end").alias("end"))
+        return rows.groupBy(*SAME, "run").agg(F.first("key").alias("key"), F.first("kept_key").alias("kept_key"), F.min("first").alias("first"), F.max("end").alias("end"))
 
-    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    numbered = joined(longer).withColumn("fresh", F.coalesce(reached < F.col("first"), F.lit(True))).withColumn("run", F.sum(F.col("fresh").cast("int")).over(order))
+    reached = F.max("end").over(_along().rowsBetween(Window.unboundedPreceding, -1))
+    numbered = joined(longer).withColumn("fresh", F.coalesce(reached < F.col("first"), F.lit(True))).withColumn("run", F.sum(F.col("fresh").cast("int")).over(_along()))
     return joined(numbered).drop("run")
 
 
@@ -306,10 +342,18 @@ def repeated_units(docs: DataFrame, settings: ParagraphSettings = ParagraphSetti
         ).filter("u.n_words > 0"),
         "paragraph-units",
     )
+    made = [rows]
+
+    def kept_table(frame: DataFrame, label: str) -> DataFrame:
+        made.append(materialize(frame, label))
+        return made[-1]
+
     order = F.struct(F.col("key").isNull().alias("none"), "key", "row")
-    chosen = rows.groupBy("same").agg(F.min(order).alias("o"), F.count(F.lit(1)).alias("copies")).select("same", F.col("o.row").alias("row"), F.col("o.key").alias("kept_key"), "copies")
-    chosen = materialize(chosen, "paragraph-texts")
-    single = rows.join(chosen.select("row"), "row", "left_semi")
+    chosen = rows.groupBy("same").agg(F.min(order).alias("o"), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    chosen = kept_table(chosen.select("same", F.col("o.row").alias("kept_row"), F.col("o.key").alias("kept_key"), "copies"), "paragraph-texts")
+    n_copies = chosen.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    copies = kept_table(attach(rows.select("row", "key", "same", "u.n_words"), chosen, ["same"], "copies", n_copies).drop("same", "copies"), "paragraph-copies")
+    single = rows.join(copies.filter("row <> kept_row").select("row"), "row", "left_anti")
 
     # A unit is its text's row and a slot: the number of a passage key, or -1 less the
     # number of a paragraph. Rows this narrow are what the two large shuffles carry.
@@ -319,67 +363,88 @@ def repeated_units(docs: DataFrame, settings: ParagraphSettings = ParagraphSetti
     band = single.select("row", F.posexplode("u.par_bands").alias("at", "buckets"))
     paragraph = band.select("row", (-1 - F.col("at")).cast("bigint").alias("slot"), F.explode("buckets").alias("bucket"), F.lit(1).alias("n"))
     units = passage.unionAll(paragraph)
-    sizes = units.groupBy("bucket").agg(F.sum("n").alias("size")).filter("size > 1").select("bucket")
-    live = materialize(units.drop("n").join(sizes, "bucket").groupBy("row", "slot").agg(F.collect_list("bucket").alias("buckets")), "paragraph-live")
+    shared = kept_table(units.groupBy("bucket").agg(F.sum("n").alias("size")).filter("size > 1"), "paragraph-shared")
+    n_shared = shared.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    live = kept_table(attach(units.drop("n"), shared, ["bucket"], "size", n_shared).groupBy("row", "slot").agg(F.collect_list("bucket").alias("buckets")), "paragraph-live")
 
     def placed(unit):
         number = (-1 - unit["slot"]).cast("int")
-        one = F.array(F.struct(F.lit("paragraph").alias("kind"), F.get("par_first", number).alias("first"), F.get("par_end", number).alias("end"), unit["buckets"].alias("buckets")))
+        one = F.array(
+            F.struct(
+                F.lit("paragraph").alias("kind"), F.get("par_first", number).alias("first"), F.get("par_end", number).alias("end"), unit["buckets"].alias("buckets"),
+                F.get("par_high", number).alias("high"), F.get("par_low", number).alias("low"),
+            )
+        )
         key = unit["slot"].cast("int")
         places = F.transform(
             F.slice("passage_first", F.get("passage_at", key) + 1, F.get("passage_n", key)),
-            lambda p: F.struct(F.lit("passage").alias("kind"), p.alias("first"), (p + settings.passage_words).alias("end"), F.lit(None).cast("array<bigint>").alias("buckets")),
-        )
+            lambda p: F.struct(
+                F.lit("passage").alias("kind"), p.alias("first"), (p + settings.passage_words).alias("end"), F.lit(None).cast("array<bigint>").alias("buckets"),
+                F.get("passage_key", key).alias("high"), F.get("passage_check", key).alias("low"),
+            ),
+        )
         return F.when(unit["slot"] < 0, one).otherwise(places)
 
-    asked = live.groupBy("row").agg(F.collect_list(F.struct("slot", "buckets")).alias("slots"))
-    asked = asked.join(rows.select("row", F.col("key").alias("key_"), F.col("same").alias("same_"), "u.*"), "row")
-    asked = asked.select("row", "key_", "same_", F.flatten(F.transform("slots", placed)).alias("units"))
-    bodies = docs.select(F.col(key).alias("key"), same.alias("same"), F.col(text).alias("body"))
-    found = bodies.join(asked, (F.col("same") == F.col("same_")) & F.col("key").eqNullSafe(F.col("key_"))).dropDuplicates(["same", "key"])
-    detailed = found.select("row", "key", "units", _detail_columns(F.col("body"), F.col("units"), settings).alias("details"))
-    verified = detailed.select("row", "key", F.explode(F.arrays_zip("units", "details")).alias("x"))
-    verified = materialize(
-        verified.select(F.monotonically_increasing_id().alias("unit"), "row", "key", "x.units.kind", "x.units.first", "x.units.end", "x.units.buckets", "x.details.high", "x.details.low", "x.details.grams", "x.details.before", "x.details.after"),
-        "paragraph-verified",
+    asked = live.groupBy("row").agg(F.collect_list(F.struct("slot", "buckets")).alias("slots")).join(rows.select("row", "key", "u.*"), "row")
+    verified = asked.select("row", "key", F.explode(F.flatten(F.transform("slots", placed))).alias("x")).select(F.monotonically_increasing_id().alias("unit"), "row", "key", "x.*")
+    verified = kept_table(verified, "paragraph-units-placed")
+
+    place = F.struct(F.col("key").isNull().alias("none"), "key", "row", "first", "end", "unit")
+    contents = kept_table(verified.groupBy("kind", "high", "low").agg(F.min("unit").alias("unit"), F.count(F.lit(1)).alias("n"), F.min(place).alias("kept")), "paragraph-contents")
+    total = verified.count()
+
+    # Passages: equal ones are repeats.
+    repeated = contents.filter("kind = 'passage' and n > 1").select("high", "low", "n", "kept")
+    again = attach(verified.filter("kind = 'passage'").drop("buckets"), repeated, ["high", "low"], "n", total).filter(F.col("unit") != F.col("kept.unit")).select(
+        "row", "key", "unit", "first", "end", F.col("kept.row").alias("kept_row"), F.col("kept.key").alias("kept_key"), F.col("kept.unit").alias("kept_unit"), (F.col("first") - F.col("kept.first")).alias("shift")
     )
+    ends = kept_table(_run_ends(again), "paragraph-run-ends")
 
-    contents = verified.groupBy("kind", "high", "low").agg(F.min("unit").alias("unit"), F.count(F.lit(1)).alias("n"))
-    contents = materialize(contents, "paragraph-contents")
-    banded = verified.filter("kind = 'paragraph' and size(grams) > 0").join(contents.filter("kind = 'paragraph'").select("unit"), "unit", "left_semi")
+    # Paragraphs: one of each content, in the buckets that several contents share.
+    least = max(settings.min_words, settings.shingle_words)
+    banded = verified.filter((F.col("kind") == "paragraph") & (F.col("end") - F.col("first") >= least)).select("unit", "buckets").join(contents.filter("kind = 'paragraph'").select("unit"), "unit", "left_semi")
+    banded = kept_table(banded, "paragraph-banded")
     # Buckets of the same members are one: the n-grams are sent there once.
     members = banded.select("unit", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(
         F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("unit")).alias("a"), F.bit_xor(F.xxhash64("unit", F.lit("again"))).alias("b")
     )
-    sizes = materialize(members.filter("size > 1").groupBy("size", "a", "b").agg(F.min("bucket").alias("bucket")).select("bucket", "size"), "paragraph-buckets")
-    asked_units = banded.select("unit", F.explode("buckets").alias("bucket")).join(sizes, "bucket")
-    links = meet(banded.select("unit", "grams").join(asked_units, "unit"), "bucket", "size", "unit").mapInArrow(lambda b: _compare(b, settings), "u bigint, v bigint")
-    linked = connected_components(links, "paragraph-clusters").withColumnRenamed("node", "unit")
-    clusters = contents.join(linked, "unit", "left").select("kind", "high", "low", "n", F.coalesce("component", "unit").alias("cluster"))
-    totals = clusters.groupBy("cluster").agg(F.sum("n").alias("n")).filter("n > 1")
-    clusters = materialize(clusters.drop("n").join(totals, "cluster").drop("n"), "paragraph-repeats")
+    sizes = kept_table(members.filter("size > 1").groupBy("size", "a", "b").agg(F.min("bucket").alias("bucket")).select("bucket", "size"), "paragraph-buckets")
+    n_sizes = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    asked_units = kept_table(attach(banded.select("unit", F.explode("buckets").alias("bucket")), sizes, ["bucket"], "size", n_sizes), "paragraph-candidates")
+
+    # The texts are read once more, for the n-grams of candidates and the words around the ends of runs.
+    wanted = asked_units.select("unit").unionAll(ends.select("unit")).unionAll(ends.select("kept_unit")).distinct()
+    requests = verified.select("unit", "row", "kind", "first", "end").join(wanted, "unit").groupBy("row").agg(F.collect_list(F.struct("unit", "kind", "first", "end")).alias("units"))
+    requests = requests.join(rows.select("row", F.col("key").alias("key_"), F.col("same").alias("same_")), "row")
+    bodies = docs.select(F.col(key).alias("key"), same.alias("same"), F.col(text).alias("body"))
+    found = bodies.join(requests, (F.col("same") == F.col("same_")) & F.col("key").eqNullSafe(F.col("key_"))).dropDuplicates(["row"])
+    details = found.select("units", _detail_columns(F.col("body"), F.col("units"), settings).alias("details")).select(F.explode(F.arrays_zip("units", "details")).alias("x"))
+    details = kept_table(details.select("x.units.unit", "x.details.grams", "x.details.before", "x.details.after"), "paragraph-details")
+
+    grams = details.filter("grams is not null").select("unit", "grams")
+    links = meet(grams.join(asked_units, "unit"), "bucket", "size", "unit").mapInArrow(lambda b: _compare(b, settings), "u bigint, v bigint")
+    linked = kept_table(connected_components(links, "paragraph-clusters").withColumnRenamed("node", "unit"), "paragraph-linked")
+    by_cluster = contents.filter("kind = 'paragraph'").join(linked, "unit", "left").select("high", "low", "n", "kept", F.coalesce("component", "unit").alias("cluster"))
+    clusters = by_cluster.groupBy("cluster").agg(F.sum("n").alias("copies"), F.count(F.lit(1)).alias("members"), F.min("kept").alias("kept")).filter("copies > 1")
+    clusters = kept_table(attach(by_cluster.drop("kept"), clusters, ["cluster"], "members", total).select("high", "low", "n", "kept"), "paragraph-repeats")
 
-    place = F.struct(F.col("key").isNull().alias("none"), "key", "row", "first", "end", "unit")
     # A line and the paragraph around it can be similar: neither is a repeat of the other.
-    nested = (F.col("kind") == "paragraph") & (F.col("first") < F.col("kept.end")) & (F.col("end") > F.col("kept.first"))
-    members = verified.select("kind", "high", "low", "row", "key", "first", "end", "unit").join(clusters, ["kind", "high", "low"])
-    keepers = members.groupBy("cluster").agg(F.min(place).alias("kept"))
-    placed_members = members.join(keepers, "cluster")
-    spans = placed_members.filter("kind = 'paragraph'").select(
+    nested = (F.col("first") < F.col("kept.end")) & (F.col("end") > F.col("kept.first"))
+    spans = attach(verified.filter("kind = 'paragraph'").drop("buckets"), clusters, ["high", "low"], "n", total).select(
         F.col("key").alias(key), "kind", F.col("first").alias("first_word"), F.col("end").alias("end_word"), F.col("kept.key").alias("kept_key"), F.col("kept.first").alias("kept_first_word"),
         ((F.col("row") != F.col("kept.row")) | ((F.col("first") != F.col("kept.first")) & ~nested)).alias("removed"),
     )
-    again = placed_members.filter((F.col("kind") == "passage") & (F.col("unit") != F.col("kept.unit"))).select(
-        "row", "key", "unit", "first", "end", F.col("kept.row").alias("kept_row"), F.col("kept.key").alias("kept_key"), F.col("kept.unit").alias("kept_unit"), (F.col("first") - F.col("kept.first")).alias("shift")
-    )
-    runs = materialize(_runs(again, verified.filter("kind = 'passage'").select("unit", "before", "after")), "paragraph-runs")
+    runs = kept_table(_runs(ends, details.filter("before is not null").drop("grams")), "paragraph-runs")
     passages = runs.select(
         F.col("key").alias(key), F.lit("passage").alias("kind"), F.col("first").alias("first_word"), F.col("end").alias("end_word"), "kept_key", (F.col("first") - F.col("shift")).alias("kept_first_word"), F.lit(True).alias("removed"),
     )
     kept = runs.select("kept_row", "kept_key", (F.col("first") - F.col("shift")).alias("first"), (F.col("end") - F.col("shift")).alias("end")).distinct().select(
         F.col("kept_key").alias(key), F.lit("passage").alias("kind"), F.col("first").alias("first_word"), F.col("end").alias("end_word"), "kept_key", F.col("first").alias("kept_first_word"), F.lit(False).alias("removed"),
     )
-    copies = rows.select("row", "key", "same", "u.n_words").join(chosen.filter("copies > 1").withColumnRenamed("row", "kept_row"), "same").select(
+    texts = copies.select(
         F.col("key").alias(key), F.lit("text").alias("kind"), F.lit(0).alias("first_word"), F.col("n_words").alias("end_word"), "kept_key", F.lit(0).alias("kept_first_word"), (F.col("row") != F.col("kept_row")).alias("removed"),
     )
-    return spans.unionByName(passages).unionByName(kept).unionByName(copies)
+    result = materialize(spans.unionByName(passages).unionByName(kept).unionByName(texts), "paragraph-result")
+    for done in made:
+        drop_table(done)
+    return result
