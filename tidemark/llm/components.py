@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.skew import attach
 from tidemark.llm.workspace import drop_table, materialize
 
 
@@ -22,14 +23,14 @@ def _settled(edges: DataFrame) -> bool:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Lead every larger neighbour of a node to its smallest neighbour, or to the node itself."""
     both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    low = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree")).select("u", F.least("u", "m").alias("m"), "degree")
+    return attach(both.filter("v > u"), low, ["u"], "degree", 2 * edges.count()).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Lead a node and all its smaller neighbours to the smallest of them."""
-    low = edges.groupBy("u").agg(F.min("v").alias("m"))
-    return edges.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(low.select("u", F.col("m").alias("v")))
+    low = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree"))
+    return attach(edges, low, ["u"], "degree", edges.count()).select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(low.select("u", F.col("m").alias("v")))
 
 
 def connected_components(edges: DataFrame, label: str) -> DataFrame:
@@ -38,7 +39,7 @@ def connected_components(edges: DataFrame, label: str) -> DataFrame:
     Large-star and small-star steps alternate until all edges lead to the least node; the
     number of rounds grows with the logarithm of the largest component. Every round is
     written to the shared folder, and the one before is deleted. Minima are taken before
-    the shuffle, and the joins' hot nodes can be split by adaptive execution.
+    the shuffle, and nodes of very many edges are joined by broadcast.
     """
     current = materialize(_clean(edges), f"{label}-edges")
     while not _settled(current):

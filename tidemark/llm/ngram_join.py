@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
 from tidemark.llm.groups import forest_labels, meet, pairs_at, whole_groups
+from tidemark.llm.skew import attach
 from tidemark.llm.words import MinHasher, blocks, doc_shingles, raw_shingles
 from tidemark.llm.workspace import materialize
 
@@ -216,7 +217,7 @@ def near_duplicates(docs: DataFrame, settings: JoinSettings = JoinSettings(), ke
     links = meet(live, "bucket", "size", "rep").mapInArrow(lambda b: _prune(b, settings), "u bigint, v bigint")
     groups = materialize(connected_components(links, "join-groups"), "join-groups")
 
-    members = groups.join(groups.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component")
+    members = attach(groups, groups.groupBy("component").agg(F.count(F.lit(1)).alias("size")), ["component"], "size", groups.count())
     same = F.unhex(F.concat(*(F.lpad(F.hex(name), 16, "0") for name in ("same_high", "same_low"))))
     members = members.withColumnRenamed("node", "rep").join(reps.select("rep", "key", "text_key", same.alias("same")), "rep")
     bodies = docs.select(F.col(key).alias("key_"), F.xxhash64(text).alias("text_key_"), F.col(text).cast("binary").alias("body"))
@@ -231,9 +232,12 @@ def near_duplicates(docs: DataFrame, settings: JoinSettings = JoinSettings(), ke
 
     nodes = reps.select("rep", "same_high", "same_low", "least_key", "n_copies").join(linked.withColumnRenamed("node", "rep"), "rep", "left")
     nodes = nodes.join(counts, "rep", "left").withColumn("class_node", F.coalesce("component", "rep"))
-    classes = nodes.groupBy("class_node").agg(F.min("least_key").alias("class_id"))
-    nodes = nodes.join(classes, "class_node").select("same_high", "same_low", "class_node", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
-    return rows.drop("values").join(nodes, ["same_high", "same_low"], "left").select(
+    nodes = materialize(nodes, "join-nodes")
+    classes = nodes.groupBy("class_node").agg(F.min("least_key").alias("class_id"), F.count(F.lit(1)).alias("members"))
+    nodes = attach(nodes, classes, ["class_node"], "members", nodes.count()).select("same_high", "same_low", "class_node", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
+    same_words = attach(rows.filter("values is not null").drop("values"), nodes, ["same_high", "same_low"], "n_copies", rows.count())
+    wordless = rows.filter("values is null").drop("values")
+    return same_words.unionByName(wordless, allowMissingColumns=True).select(
         F.col("key").alias(key),
         "text_key",
         "row_id",
