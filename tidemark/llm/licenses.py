@@ -132,7 +132,9 @@ def scan_licenses(
 
     found = (
         docs.filter(_has_any(F.lower(text), words))
-        .select(F.col(key).alias("k"), F.explode(segments(F.col(text), marked)).alias("segment"))
+        # A generator of one row keeps the segments in one place: filters that Spark infers do not repeat them.
+        .select(F.col(key).alias("k"), F.explode(F.array(segments(F.col(text), marked))).alias("s"))
+        .select("k", F.explode("s").alias("segment"))
         .filter(marked(F.col("segment")))
         .select("k", "segment", F.explode(F.array(_normalised(F.col("segment")))).alias("n"))
         .filter(_has_any(F.col("n"), [f" {a} " for a in wanted]))
