@@ -241,19 +241,20 @@ def _unit_columns(text, settings: ParagraphSettings):
 
 
 def _detail_columns(text, units, settings: ParagraphSettings):
+    asked = F.transform(units, lambda u: F.struct(u["kind"].alias("kind"), u["first"].alias("first"), u["end"].alias("end")))
     ints = pa.list_(pa.int32())
     detail = pa.struct([("grams", pa.list_(pa.int64())), ("before", ints), ("after", ints)])
 
     @F.arrow_udf("array<struct<grams:array<bigint>,before:array<int>,after:array<int>>>")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for body, unit in batches:
-            texts, asked = body.to_pylist(), unit.to_pylist()
+            texts, wanted = body.to_pylist(), unit.to_pylist()
             rows: list[list[dict]] = []
             for a, b in blocks(texts):
-                rows += _details(texts[a:b], asked[a:b], settings)
+                rows += _details(texts[a:b], wanted[a:b], settings)
             yield pa.array(rows, pa.list_(detail))
 
-    return run.asNondeterministic()(text.cast("binary"), units)
+    return run.asNondeterministic()(text.cast("binary"), asked)
 
 
 def _compare(batches: Iterator[pa.RecordBatch], settings: ParagraphSettings) -> Iterator[pa.RecordBatch]:
@@ -280,6 +281,8 @@ def _compare(batches: Iterator[pa.RecordBatch], settings: ParagraphSettings) ->
 
 
 SAME = ["row", "kept_row", "shift"]
+#: What is known of the first or last passage of a run.
+RUN = ["kept_unit", "kept_row", "kept_key", "shift", "run", "opens", "closes"]
 
 
 def _along():
@@ -297,22 +300,21 @@ def _run_ends(again: DataFrame) -> DataFrame:
     return ends.withColumn("run", F.sum(F.col("opens").cast("int")).over(_along())).filter("opens or closes")
 
 
-def _runs(ends: DataFrame, words: DataFrame) -> DataFrame:
+def _runs(own: DataFrame, kept: DataFrame, n_ends: int) -> DataFrame:
     """Repeated passages as runs, as long as they go.
 
-    The first and last passage of a run are prolonged by the equal words around, and runs
-    that then meet are one.
+    The first and last passage of a run (``own``, with the words around) are prolonged by
+    the words around the kept one that equal them, and runs that then meet are one.
     """
-    own = words.join(ends, "unit").drop("unit")
-    asked = ends.groupBy("kept_unit").agg(F.count(F.lit(1)).alias("asked"))
-    other = words.select(F.col("unit").alias("kept_unit"), F.col("before").alias("kept_before"), F.col("after").alias("kept_after")).join(asked, "kept_unit")
+    asked = own.groupBy("kept_unit").agg(F.count(F.lit(1)).alias("asked"))
+    other = kept.select(F.col("unit").alias("kept_unit"), F.col("before").alias("kept_before"), F.col("after").alias("kept_after")).join(asked, "kept_unit")
 
     def equal(left: str, right: str):
         both = F.zip_with(left, right, lambda a, b: F.coalesce(a == b, F.lit(False)))
         stop = F.array_position(both, False).cast("int")
         return F.when(stop == 0, F.size(both)).otherwise(stop - 1)
 
-    longer = attach(own, other, ["kept_unit"], "asked", ends.count()).select(
+    longer = attach(own, other, ["kept_unit"], "asked", n_ends).select(
         *SAME, "run", "key", "kept_key", (F.col("first") - F.when(F.col("opens"), equal("before", "kept_before")).otherwise(0)).alias("first"),
         (F.col("end") + F.when(F.col("closes"), equal("after", "kept_after")).otherwise(0)).alias("end"),
     )
@@ -348,6 +350,11 @@ def repeated_units(docs: DataFrame, settings: ParagraphSettings = ParagraphSetti
         made.append(materialize(frame, label))
         return made[-1]
 
+    def dropped(*tables: DataFrame) -> None:
+        for table in tables:
+            made[:] = [m for m in made if m is not table]
+            drop_table(table)
+
     order = F.struct(F.col("key").isNull().alias("none"), "key", "row")
     chosen = rows.groupBy("same").agg(F.min(order).alias("o"), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
     chosen = kept_table(chosen.select("same", F.col("o.row").alias("kept_row"), F.col("o.key").alias("kept_key"), "copies"), "paragraph-texts")
@@ -388,6 +395,8 @@ def repeated_units(docs: DataFrame, settings: ParagraphSettings = ParagraphSetti
     asked = live.groupBy("row").agg(F.collect_list(F.struct("slot", "buckets")).alias("slots")).join(rows.select("row", "key", "u.*"), "row")
     verified = asked.select("row", "key", F.explode(F.flatten(F.transform("slots", placed))).alias("x")).select(F.monotonically_increasing_id().alias("unit"), "row", "key", "x.*")
     verified = kept_table(verified, "paragraph-units-placed")
+    keys = kept_table(rows.select("row", F.col("key").alias("key_"), F.col("same").alias("same_")), "paragraph-keys")
+    dropped(live, shared, rows)
 
     place = F.struct(F.col("key").isNull().alias("none"), "key", "row", "first", "end", "unit")
     contents = kept_table(verified.groupBy("kind", "high", "low").agg(F.min("unit").alias("unit"), F.count(F.lit(1)).alias("n"), F.min(place).alias("kept")), "paragraph-contents")
@@ -411,17 +420,26 @@ def repeated_units(docs: DataFrame, settings: ParagraphSettings = ParagraphSetti
     sizes = kept_table(members.filter("size > 1").groupBy("size", "a", "b").agg(F.min("bucket").alias("bucket")).select("bucket", "size"), "paragraph-buckets")
     n_sizes = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     asked_units = kept_table(attach(banded.select("unit", F.explode("buckets").alias("bucket")), sizes, ["bucket"], "size", n_sizes), "paragraph-candidates")
-
-    # The texts are read once more, for the n-grams of candidates and the words around the ends of runs.
-    wanted = asked_units.select("unit").unionAll(ends.select("unit")).unionAll(ends.select("kept_unit")).distinct()
-    requests = verified.select("unit", "row", "kind", "first", "end").join(wanted, "unit").groupBy("row").agg(F.collect_list(F.struct("unit", "kind", "first", "end")).alias("units"))
-    requests = requests.join(rows.select("row", F.col("key").alias("key_"), F.col("same").alias("same_")), "row")
+    dropped(banded)
+
+    # The texts are read once more, for the n-grams of candidates and the words around the ends
+    # of runs and the passages that they equal.
+    nothing = F.lit(None).cast(ends.select(*RUN).schema).alias("run_end")
+    candidates = verified.select("unit", "row", "kind", "first", "end").join(asked_units.select("unit").distinct(), "unit").select("row", "unit", "kind", "first", "end", nothing)
+    passage_kind, kept_first = F.lit("passage").alias("kind"), F.col("first") - F.col("shift")
+    equal_to = ends.select(F.col("kept_row").alias("row"), F.col("kept_unit").alias("unit"), passage_kind, kept_first.alias("first"), (kept_first + settings.passage_words).alias("end")).distinct()
+    own_ends = ends.select("row", "unit", passage_kind, "first", "end", F.struct(*RUN).alias("run_end"))
+    wanted = candidates.unionAll(equal_to.select("row", "unit", "kind", "first", "end", nothing)).unionAll(own_ends)
+    requests = wanted.groupBy("row").agg(F.collect_list(F.struct("unit", "kind", "first", "end", "run_end")).alias("units")).join(keys, "row")
     bodies = docs.select(F.col(key).alias("key"), same.alias("same"), F.col(text).alias("body"))
-    found = bodies.join(requests, (F.col("same") == F.col("same_")) & F.col("key").eqNullSafe(F.col("key_"))).dropDuplicates(["row"])
-    details = found.select("units", _detail_columns(F.col("body"), F.col("units"), settings).alias("details")).select(F.explode(F.arrays_zip("units", "details")).alias("x"))
-    details = kept_table(details.select("x.units.unit", "x.details.grams", "x.details.before", "x.details.after"), "paragraph-details")
+    found = bodies.join(requests, (F.col("same") == F.col("same_")) & F.col("key").eqNullSafe(F.col("key_"))).dropDuplicates(["same", "key"])
+    details = found.select("row", "key", "units", _detail_columns(F.col("body"), F.col("units"), settings).alias("details")).select("row", "key", F.explode(F.arrays_zip("units", "details")).alias("x"))
+    details = kept_table(details.select("row", "key", "x.units.*", "x.details.grams", "x.details.before", "x.details.after"), "paragraph-details")
+    own_ends = details.filter("run_end is not null").select("row", "key", "first", "end", "run_end.*", "before", "after")
+    runs = kept_table(_runs(own_ends, details.filter("kind = 'passage' and run_end is null").select("unit", "before", "after"), ends.count()), "paragraph-runs")
+    grams = kept_table(details.filter("grams is not null").select("unit", "grams"), "paragraph-grams")
+    dropped(details, ends)
 
-    grams = details.filter("grams is not null").select("unit", "grams")
     links = meet(grams.join(asked_units, "unit"), "bucket", "size", "unit").mapInArrow(lambda b: _compare(b, settings), "u bigint, v bigint")
     linked = kept_table(connected_components(links, "paragraph-clusters").withColumnRenamed("node", "unit"), "paragraph-linked")
     by_cluster = contents.filter("kind = 'paragraph'").join(linked, "unit", "left").select("high", "low", "n", "kept", F.coalesce("component", "unit").alias("cluster"))
@@ -434,7 +452,6 @@ def repeated_units(docs: DataFrame, settings: ParagraphSettings = ParagraphSetti
         F.col("key").alias(key), "kind", F.col("first").alias("first_word"), F.col("end").alias("end_word"), F.col("kept.key").alias("kept_key"), F.col("kept.first").alias("kept_first_word"),
         ((F.col("row") != F.col("kept.row")) | ((F.col("first") != F.col("kept.first")) & ~nested)).alias("removed"),
     )
-    runs = kept_table(_runs(ends, details.filter("before is not null").drop("grams")), "paragraph-runs")
     passages = runs.select(
         F.col("key").alias(key), F.lit("passage").alias("kind"), F.col("first").alias("first_word"), F.col("end").alias("end_word"), "kept_key", (F.col("first") - F.col("shift")).alias("kept_first_word"), F.lit(True).alias("removed"),
     )
@@ -445,6 +462,5 @@ def repeated_units(docs: DataFrame, settings: ParagraphSettings = ParagraphSetti
         F.col("key").alias(key), F.lit("text").alias("kind"), F.lit(0).alias("first_word"), F.col("n_words").alias("end_word"), "kept_key", F.lit(0).alias("kept_first_word"), (F.col("row") != F.col("kept_row")).alias("removed"),
     )
     result = materialize(spans.unionByName(passages).unionByName(kept).unionByName(texts), "paragraph-result")
-    for done in made:
-        drop_table(done)
+    dropped(*made)
     return result

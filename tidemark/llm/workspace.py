@@ -7,17 +7,25 @@ from pyspark.sql import DataFrame
 from tidemark.session import new_run_dir, ship_package
 from tidemark.sources import fs
 
+#: Spark's setting by which a query's shuffle files are deleted at its end.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 __all__ = ["drop_table", "materialize", "ship_package"]
 
 
 def materialize(frame: DataFrame, label: str) -> DataFrame:
     """Write a step's rows to the shared folder and read them back.
 
-    Cuts the lineage: a lost executor costs the tasks it ran, not the steps before.
+    Cuts the lineage: a lost executor costs the tasks it ran, not the steps before. The
+    step's shuffle files go when it is written.
     """
     spark = frame.sparkSession
     path = new_run_dir(spark, label)
-    frame.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
