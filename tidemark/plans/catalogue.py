@@ -191,7 +191,7 @@ def relationship_left(spark: SparkSession, sf_dir: str) -> DataFrame:
         "s_suppkey",
         ["c_mktsegment"],
         ["s_nationkey"],
-    ).fillna({"s_nationkey": -1})
+    )
 
 
 @query
@@ -207,8 +207,7 @@ def relationship_no_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("c_nationkey").alias("nationkey"))
         .agg(F.count(F.lit(1)).alias("customers"), exact_sum("c_acctbal", 2).alias("c_acctbal"))
     )
-    names = ["suppliers", "customers"]
-    return joins.aligned_totals(suppliers, customers, "nationkey").fillna(0, names).fillna(0.0)
+    return joins.aligned_totals(suppliers, customers, "nationkey")
 
 
 # Counts, ranks, roll-ups
@@ -226,14 +225,13 @@ def full_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rollup_two_level(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rings = aggregates.ring_counts(table(spark, sf_dir, "part"), "p_brand", "p_type")
-    return rings.fillna("", ["p_brand", "p_type"])
+    return aggregates.ring_counts(table(spark, sf_dir, "part"), "p_brand", "p_type")
 
 
 @query
 def rollup_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("nation"), "c_mktsegment")
-    return aggregates.ring_shares(rows, "nation", "c_mktsegment").fillna("", ["nation", "c_mktsegment"])
+    return aggregates.ring_shares(rows, "nation", "c_mktsegment")
 
 
 @query
@@ -337,7 +335,7 @@ def location_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         KEY,
         wall_clock("event_time").alias("event_time"),
-        *(F.coalesce(f.column, F.lit("(null)")).alias(f.column) for f in LOCATION.table_fields),
+        *(f.column for f in LOCATION.table_fields),
     )
 
 
@@ -545,14 +543,12 @@ def bounded_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def location_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = summaries.topic_summary(as_messages(location_records(spark, sf_dir, broken=True)), LOCATION)
-    return summary.fillna("", ["field_value"])
+    return summaries.topic_summary(as_messages(location_records(spark, sf_dir, broken=True)), LOCATION)
 
 
 @query
 def evdata_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = summaries.topic_summary(as_messages(evdata_records(spark, sf_dir, broken=True)), EVDATA)
-    return summary.fillna("", ["field_value"])
+    return summaries.topic_summary(as_messages(evdata_records(spark, sf_dir, broken=True)), EVDATA)
 
 
 @query
@@ -855,4 +851,4 @@ def stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         arrivals(evdata_records(spark, sf_dir, broken=True), "timestamp", _order_cuts()),
         lambda s: writers.start_counts(s, kept, lambda batch: summaries.topic_summary(batch, EVDATA), f"{root}/checkpoint", None),
     )
-    return kept.read().drop("bucket").fillna("", ["field_value"])
+    return kept.read().drop("bucket")

@@ -121,9 +121,9 @@ GROUP BY 1, 2
 )
 
 _EVDATA_SUMMARY = """
-SELECT '_consumed' AS field, '' AS field_value, COUNT(*) AS row_count FROM orders
+SELECT '_consumed' AS field, NULL AS field_value, COUNT(*) AS row_count FROM orders
 UNION ALL
-SELECT '_unreadable', '', COUNT(*) FROM orders WHERE o_orderpriority = '1-URGENT'
+SELECT '_unreadable', NULL, COUNT(*) FROM orders WHERE o_orderpriority = '1-URGENT'
 UNION ALL
 SELECT 'make', o_orderpriority, COUNT(*) FROM orders WHERE o_orderpriority <> '1-URGENT' GROUP BY o_orderpriority
 UNION ALL
@@ -163,7 +163,7 @@ FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
 GROUP BY o_orderpriority, l_returnflag
 """,
     "relationship_left": """
-SELECT COALESCE(s_nationkey, -1) AS s_nationkey, c_mktsegment, COUNT(*) AS row_count
+SELECT s_nationkey, c_mktsegment, COUNT(*) AS row_count
 FROM customer LEFT JOIN supplier ON c_custkey = s_suppkey
 GROUP BY 1, 2
 """,
@@ -176,8 +176,7 @@ WITH s AS (
   FROM customer GROUP BY 1
 )
 SELECT COALESCE(s.nationkey, c.nationkey) AS nationkey,
-       COALESCE(suppliers, 0) AS suppliers, COALESCE(s_acctbal, 0) AS s_acctbal,
-       COALESCE(customers, 0) AS customers, COALESCE(c_acctbal, 0) AS c_acctbal
+       suppliers, s_acctbal, customers, c_acctbal
 FROM s FULL OUTER JOIN c ON s.nationkey = c.nationkey
 """,
     "top_k_counts": """
@@ -186,12 +185,12 @@ GROUP BY o_custkey ORDER BY row_count DESC, o_custkey LIMIT 10
 """,
     "full_counts": "SELECT event_type, COUNT(*) AS row_count FROM events GROUP BY event_type",
     "rollup_two_level": """
-SELECT COALESCE(p_brand, '') AS p_brand, COALESCE(p_type, '') AS p_type,
+SELECT p_brand, p_type,
        CAST(GROUPING(p_brand, p_type) AS INTEGER) AS level, COUNT(*) AS row_count
 FROM part GROUP BY ROLLUP (p_brand, p_type)
 """,
     "rollup_share": """
-SELECT COALESCE(nation, '') AS nation, COALESCE(c_mktsegment, '') AS c_mktsegment,
+SELECT nation, c_mktsegment,
        CAST(GROUPING(nation, c_mktsegment) AS INTEGER) AS level, COUNT(*) AS row_count,
        CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM customer) AS share
 FROM (SELECT CAST(c_nationkey AS VARCHAR) AS nation, c_mktsegment FROM customer)
@@ -237,12 +236,12 @@ WHERE TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) BETWEEN 10 AND 60
     "location_rows": """
 SELECT CAST(c_custkey AS VARCHAR) AS dol_vehicle_id,
        TIMESTAMP '1995-01-01 00:00:00' + to_seconds(c_custkey) AS event_time,
-       CASE WHEN c_nationkey = 7 THEN '(null)' ELSE c_name END AS vin,
-       CASE WHEN c_nationkey = 7 THEN '(null)' ELSE 'County ' || CAST(c_nationkey AS VARCHAR) END AS county,
-       CASE WHEN c_nationkey = 7 THEN '(null)' ELSE c_mktsegment END AS city,
-       CASE WHEN c_nationkey = 7 THEN '(null)' ELSE 'WA' END AS state,
-       CASE WHEN c_nationkey = 7 THEN '(null)' ELSE CAST(c_nationkey AS VARCHAR) END AS postal_code,
-       CASE WHEN c_nationkey = 7 THEN '(null)' ELSE CAST(c_acctbal AS VARCHAR) END AS vehicle_location
+       CASE WHEN c_nationkey = 7 THEN NULL ELSE c_name END AS vin,
+       CASE WHEN c_nationkey = 7 THEN NULL ELSE 'County ' || CAST(c_nationkey AS VARCHAR) END AS county,
+       CASE WHEN c_nationkey = 7 THEN NULL ELSE c_mktsegment END AS city,
+       CASE WHEN c_nationkey = 7 THEN NULL ELSE 'WA' END AS state,
+       CASE WHEN c_nationkey = 7 THEN NULL ELSE CAST(c_nationkey AS VARCHAR) END AS postal_code,
+       CASE WHEN c_nationkey = 7 THEN NULL ELSE CAST(c_acctbal AS VARCHAR) END AS vehicle_location
 FROM customer
 """,
     "evdata_rows": _EVDATA
@@ -324,8 +323,8 @@ SELECT CAST(user_id AS VARCHAR) AS user_key, event_id AS msg_offset, ts AS event
 FROM events ORDER BY event_id LIMIT 500
 """,
     "location_summary": """
-SELECT '_consumed' AS field, '' AS field_value, COUNT(*) AS row_count FROM customer
-UNION ALL SELECT '_unreadable', '', COUNT(*) FROM customer WHERE c_nationkey = 7
+SELECT '_consumed' AS field, NULL AS field_value, COUNT(*) AS row_count FROM customer
+UNION ALL SELECT '_unreadable', NULL, COUNT(*) FROM customer WHERE c_nationkey = 7
 UNION ALL SELECT 'county', 'County ' || CAST(c_nationkey AS VARCHAR), COUNT(*)
 FROM customer WHERE c_nationkey <> 7 GROUP BY c_nationkey
 UNION ALL SELECT 'city', c_mktsegment, COUNT(*) FROM customer WHERE c_nationkey <> 7 GROUP BY c_mktsegment
