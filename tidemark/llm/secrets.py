@@ -153,13 +153,16 @@ def _with_random(base: Column, long_runs: Column, log_odds: list[float], setting
 
     def judged(run: Column) -> Column:
         parts = F.filter(matches(run["value"], part, "random", run["value"].rlike("[/=_-]")), is_random)
-        placed = F.transform(parts, lambda p: moved(p, run["start"]))
+        # The array of one element gives the parts a name: they are worked out once.
+        return F.element_at(F.transform(F.array(parts), lambda found: reported(run, found)), 1)
+
+    def reported(run: Column, parts: Column) -> Column:
         begin, end = F.element_at(parts, 1)["start"], F.element_at(parts, -1)["end"]
         inner = F.struct(run["kind"].alias("kind"), (run["start"] + begin).alias("start"), (run["start"] + end).alias("end"), F.substring(run["value"], begin + 1, end - begin).alias("value"))
         whole = F.when(F.size(parts) > 0, F.array(inner)).otherwise(F.array(run))
-        return F.when(is_random(run), whole).otherwise(placed)
+        return F.when(is_random(run), whole).otherwise(F.transform(parts, lambda p: moved(p, run["start"])))
 
-    random = F.flatten(F.transform(free, lambda run: F.element_at(F.transform(F.array(run), judged), 1)))
+    random = F.flatten(F.transform(free, judged))
     return in_order(F.concat(base, random), KINDS)
 
 
