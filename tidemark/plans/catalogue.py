@@ -187,7 +187,7 @@ def relationship_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers counted by segment and by a supplier attribute; most have no match."""
     return joins.counted_join(
         table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "s_suppkey"),
-        table(spark, sf_dir, "supplier"),
+        table(spark, sf_dir, "supplier").withColumn("s_nationkey", F.col("s_nationkey").cast("string")),
         "s_suppkey",
         ["c_mktsegment"],
         ["s_nationkey"],

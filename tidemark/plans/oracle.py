@@ -163,7 +163,7 @@ FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
 GROUP BY o_orderpriority, l_returnflag
 """,
     "relationship_left": """
-SELECT s_nationkey, c_mktsegment, COUNT(*) AS row_count
+SELECT CAST(s_nationkey AS VARCHAR) AS s_nationkey, c_mktsegment, COUNT(*) AS row_count
 FROM customer LEFT JOIN supplier ON c_custkey = s_suppkey
 GROUP BY 1, 2
 """,
