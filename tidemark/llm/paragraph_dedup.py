@@ -196,27 +196,33 @@ def _bands(words: np.ndarray, head: np.ndarray, tail: np.ndarray, settings: Para
     return packed.astype(np.int64)
 
 
-def _details(texts: list[bytes], asked: list[list[dict]], settings: ParagraphSettings) -> list[list[dict]]:
+def _details(texts: list[bytes], owner: np.ndarray, passage: np.ndarray, first: np.ndarray, end: np.ndarray, settings: ParagraphSettings) -> list[tuple[np.ndarray, np.ndarray]]:
     """For paragraphs their distinct n-grams; for passages the words before and after.
 
-    Those come nearest first, as 32 bits of their hashes: a shared run goes on for less
+    Each of the three as one array for all units, and the length of each unit's part. Words
+    around come nearest first, as 32 bits of their hashes: a shared run goes on for less
     than ``spacing`` words beyond its outermost anchors.
     """
     _, _, words, begin, _ = _layout(texts)
     shingles = shingle_hashes(words, settings.shingle_words)
     short = (words >> np.uint64(32)).astype(np.uint32).view(np.int32)
     around = settings.spacing - 1
-    out = []
-    for i, units in enumerate(asked):
-        own = []
-        for unit in units:
-            low, high = begin[i] + unit["first"], begin[i] + unit["end"]
-            if unit["kind"] == "passage":
-                own.append({"grams": None, "before": short[max(begin[i], low - around) : low][::-1].tolist(), "after": short[high : min(begin[i + 1], high + around)].tolist()})
-            else:
-                own.append({"grams": np.unique(shingles[low : high - settings.shingle_words + 1]).astype(np.int64).tolist(), "before": None, "after": None})
-        out.append(own)
-    return out
+    low, high = begin[owner] + first, begin[owner] + end
+    grams = [np.unique(shingles[a : b - settings.shingle_words + 1]).astype(np.int64) for a, b in zip(low[~passage].tolist(), high[~passage].tolist())]
+    sizes = np.zeros(len(owner), dtype=np.int64)
+    sizes[~passage] = [len(g) for g in grams]
+    before = np.where(passage, np.minimum(low - begin[owner], around), 0)
+    after = np.where(passage, np.minimum(begin[owner + 1] - high, around), 0)
+
+    def places(start: np.ndarray, count: np.ndarray, step: int) -> np.ndarray:
+        along = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        return np.repeat(start, count) + step * along
+
+    return [
+        (np.concatenate(grams) if grams else np.zeros(0, dtype=np.int64), sizes),
+        (short[places(low - 1, before, -1)], before),
+        (short[places(high, after, 1)], after),
+    ]
 
 
 def _unit_columns(text, settings: ParagraphSettings):
@@ -242,17 +248,27 @@ def _unit_columns(text, settings: ParagraphSettings):
 
 def _detail_columns(text, units, settings: ParagraphSettings):
     asked = F.transform(units, lambda u: F.struct(u["kind"].alias("kind"), u["first"].alias("first"), u["end"].alias("end")))
-    ints = pa.list_(pa.int32())
-    detail = pa.struct([("grams", pa.list_(pa.int64())), ("before", ints), ("after", ints)])
+    def lists(parts: list[tuple[np.ndarray, np.ndarray]], kind: pa.DataType) -> pa.Array:
+        ends = np.cumsum(np.concatenate([[0], *(sizes for _, sizes in parts)])).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([flat for flat, _ in parts]), kind))
 
     @F.arrow_udf("array<struct<grams:array<bigint>,before:array<int>,after:array<int>>>")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for body, unit in batches:
-            texts, wanted = body.to_pylist(), unit.to_pylist()
-            rows: list[list[dict]] = []
+            texts, flat = body.to_pylist(), unit.flatten()
+            counts = unit.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            bounds = np.append(0, np.cumsum(counts))
+            passage = np.array(flat.field("kind").to_pylist(), dtype=object) == "passage"
+            first, end = (flat.field(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("first", "end"))
+            made = [[], [], []]
             for a, b in blocks(texts):
-                rows += _details(texts[a:b], wanted[a:b], settings)
-            yield pa.array(rows, pa.list_(detail))
+                own = slice(bounds[a], bounds[b])
+                found = _details(texts[a:b], np.repeat(np.arange(b - a), counts[a:b]), passage[own], first[own], end[own], settings)
+                for held, part in zip(made, found):
+                    held.append(part)
+            columns = [lists(parts, kind) for parts, kind in zip(made, (pa.int64(), pa.int32(), pa.int32()))]
+            details = pa.StructArray.from_arrays(columns, ["grams", "before", "after"])
+            yield pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), details)
 
     return run.asNondeterministic()(text.cast("binary"), asked)
 
@@ -431,14 +447,19 @@ def repeated_units(docs: DataFrame, settings: ParagraphSettings = ParagraphSetti
     own_ends = ends.select("row", "unit", passage_kind, "first", "end", F.struct(*RUN).alias("run_end"))
     wanted = candidates.unionAll(equal_to.select("row", "unit", "kind", "first", "end", nothing)).unionAll(own_ends)
     requests = wanted.groupBy("row").agg(F.collect_list(F.struct("unit", "kind", "first", "end", "run_end")).alias("units")).join(keys, "row")
+    requests = kept_table(requests, "paragraph-requests")
+    paragraphs = kept_table(verified.filter("kind = 'paragraph'").drop("buckets"), "paragraph-members")
+    n_ends = ends.count()
+    dropped(ends, verified)
     bodies = docs.select(F.col(key).alias("key"), same.alias("same"), F.col(text).alias("body"))
     found = bodies.join(requests, (F.col("same") == F.col("same_")) & F.col("key").eqNullSafe(F.col("key_"))).dropDuplicates(["same", "key"])
     details = found.select("row", "key", "units", _detail_columns(F.col("body"), F.col("units"), settings).alias("details")).select("row", "key", F.explode(F.arrays_zip("units", "details")).alias("x"))
     details = kept_table(details.select("row", "key", "x.units.*", "x.details.grams", "x.details.before", "x.details.after"), "paragraph-details")
+    dropped(requests)
     own_ends = details.filter("run_end is not null").select("row", "key", "first", "end", "run_end.*", "before", "after")
-    runs = kept_table(_runs(own_ends, details.filter("kind = 'passage' and run_end is null").select("unit", "before", "after"), ends.count()), "paragraph-runs")
-    grams = kept_table(details.filter("grams is not null").select("unit", "grams"), "paragraph-grams")
-    dropped(details, ends)
+    runs = kept_table(_runs(own_ends, details.filter("kind = 'passage' and run_end is null").select("unit", "before", "after"), n_ends), "paragraph-runs")
+    grams = kept_table(details.filter("kind = 'paragraph'").select("unit", "grams"), "paragraph-grams")
+    dropped(details)
 
     links = meet(grams.join(asked_units, "unit"), "bucket", "size", "unit").mapInArrow(lambda b: _compare(b, settings), "u bigint, v bigint")
     linked = kept_table(connected_components(links, "paragraph-clusters").withColumnRenamed("node", "unit"), "paragraph-linked")
@@ -448,7 +469,7 @@ def repeated_units(docs: DataFrame, settings: ParagraphSettings = ParagraphSetti
 
     # A line and the paragraph around it can be similar: neither is a repeat of the other.
     nested = (F.col("first") < F.col("kept.end")) & (F.col("end") > F.col("kept.first"))
-    spans = attach(verified.filter("kind = 'paragraph'").drop("buckets"), clusters, ["high", "low"], "n", total).select(
+    spans = attach(paragraphs, clusters, ["high", "low"], "n", total).select(
         F.col("key").alias(key), "kind", F.col("first").alias("first_word"), F.col("end").alias("end_word"), F.col("kept.key").alias("kept_key"), F.col("kept.first").alias("kept_first_word"),
         ((F.col("row") != F.col("kept.row")) | ((F.col("first") != F.col("kept.first")) & ~nested)).alias("removed"),
     )
