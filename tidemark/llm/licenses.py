@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from functools import reduce
 from operator import or_
 
@@ -77,23 +77,18 @@ def _has_any(text: Column, parts: list[str]) -> Column:
 SENTENCE_END = "[.!?;]+[ \\t\\r]+"
 
 
-def segments(text: Column, marked: Callable[[Column], Column]) -> Column:
-    """Distinct lines, sentences of lines that have several, and paragraphs, of those that are ``marked``."""
+def segments(text: Column) -> Column:
+    """Distinct lines and paragraphs; a null text has none."""
     lines, paragraphs = F.split(text, "\n", -1), F.split(text, "\n[ \t\r]*\n", -1)
-    whole = F.array_distinct(F.when(text.contains("\n"), F.concat(lines, paragraphs)).otherwise(lines))
+    return F.array_distinct(F.when(text.contains("\n"), F.concat(lines, paragraphs)).otherwise(lines))
 
-    def sentences(line: Column) -> Column:
-        return F.filter(F.split(line, SENTENCE_END, -1), lambda s: s != "")
 
-    def several(line: Column) -> Column:
-        some = F.transform(F.array(sentences(line)), lambda s: F.when(F.size(s) > 1, s).otherwise(F.array().cast("array<string>")))
-        return F.when(line.contains("\n"), F.array().cast("array<string>")).otherwise(F.element_at(some, 1))
-
-    def with_sentences(chosen: Column) -> Column:
-        return F.when(F.size(chosen) == 0, chosen).otherwise(F.array_distinct(F.concat(chosen, F.flatten(F.transform(chosen, several)))))
-
-    # The array of one element gives the marked segments a name: they are worked out once.
-    return F.element_at(F.transform(F.array(F.filter(whole, marked)), with_sentences), 1)
+def with_sentences(segment: Column) -> Column:
+    """The segment and, if it is a line of several sentences, each of these."""
+    parts = F.filter(F.split(segment, SENTENCE_END, -1), lambda s: s != "")
+    several = F.transform(F.array(parts), lambda s: F.when(F.size(s) > 1, F.concat(F.array(segment), s)).otherwise(F.array(segment)))
+    line = ~segment.contains("\n") & segment.rlike(SENTENCE_END)
+    return F.array_distinct(F.when(line, F.element_at(several, 1)).otherwise(F.array(segment)))
 
 
 def _normalised(segment: Column) -> Column:
@@ -118,7 +113,7 @@ def scan_licenses(
 
     A notice that makes up nearly all of a line, of a sentence or of a paragraph is found,
     in texts of any length. Repeated rows each have their own. Each segment goes to its best template, ties to the first name. Templates need two
-    words at least. Row by row, without a join or a shuffle; texts without a match, empty
+    words at least. Row by row, without a join; only matches are shuffled, to be distinct; texts without a match, empty
     and null ones give no row. Other columns of ``docs`` are left out.
     """
     sets = {name: template_bigrams(body) for name, body in sorted(templates.items())}
@@ -127,18 +122,18 @@ def scan_licenses(
     low, high = min(b[0] for b in bounds.values()), max(b[1] for b in bounds.values())
     words = marks(wanted)
 
-    def marked(segment: Column) -> Column:
+    def marked(segment: str) -> Column:
         return _has_any(F.lower(segment), words)
 
     found = (
         docs.filter(_has_any(F.lower(text), words))
-        # A generator of one row keeps the segments in one place: filters that Spark infers do not repeat them.
-        .select(F.col(key).alias("k"), F.explode(F.array(segments(F.col(text), marked))).alias("s"))
-        .select("k", F.explode("s").alias("segment"))
-        .filter(marked(F.col("segment")))
-        .select("k", "segment", F.explode(F.array(_normalised(F.col("segment")))).alias("n"))
+        .select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("k"), F.explode(segments(F.col(text))).alias("segment"))
+        .filter(marked("segment"))
+        .select("row", "k", F.explode(with_sentences(F.col("segment"))).alias("segment"))
+        .filter((F.char_length("segment") >= 3) & marked("segment"))
+        .select("row", "k", "segment", F.explode(F.array(_normalised(F.col("segment")))).alias("n"))
         .filter(_has_any(F.col("n"), [f" {a} " for a in wanted]))
-        .select("k", "segment", F.explode(F.array(_bigrams(F.col("n")))).alias("b"))
+        .select("row", "k", "segment", F.explode(F.array(_bigrams(F.col("n")))).alias("b"))
         .filter(F.size("b").between(low, high))
     )
 
@@ -152,6 +147,8 @@ def scan_licenses(
     return (
         found.withColumn("best", best)
         .filter(-F.col("best.minus_dice") >= threshold)
+        # A sentence can stand in several lines.
+        .dropDuplicates(["row", "segment"])
         .select(F.col("k").alias(key), "segment", F.col("best.license").alias("license"), (-F.col("best.minus_dice")).alias("dice"))
     )
 
