@@ -20,17 +20,17 @@ def _settled(edges: DataFrame) -> bool:
     return ends.groupBy("n").agg(F.sum("down").alias("down"), F.max("up").alias("up")).filter("down > 1 or (down = 1 and up = 1)").isEmpty()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, count: int) -> DataFrame:
     """Lead every larger neighbour of a node to its smallest neighbour, or to the node itself."""
     both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree")).select("u", F.least("u", "m").alias("m"), "degree")
-    return attach(both.filter("v > u"), low, ["u"], "degree", 2 * edges.count()).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return attach(both.filter("v > u"), low, ["u"], "degree", 2 * count).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, count: int) -> DataFrame:
     """Lead a node and all its smaller neighbours to the smallest of them."""
     low = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree"))
-    return attach(edges, low, ["u"], "degree", edges.count()).select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(low.select("u", F.col("m").alias("v")))
+    return attach(edges, low, ["u"], "degree", count).select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(low.select("u", F.col("m").alias("v")))
 
 
 def connected_components(edges: DataFrame, label: str) -> DataFrame:
@@ -39,11 +39,13 @@ def connected_components(edges: DataFrame, label: str) -> DataFrame:
     Large-star and small-star steps alternate until all edges lead to the least node; the
     number of rounds grows with the logarithm of the largest component. Every round is
     written to the shared folder, and the one before is deleted. Minima are taken before
-    the shuffle, and nodes of very many edges are joined by broadcast.
+    the shuffle, and nodes of very many edges are joined by broadcast. A large-star step makes
+    no more edges than it is given, so one count of a round's edges bounds both its steps.
     """
     current = materialize(_clean(edges), f"{label}-edges")
     while not _settled(current):
-        following = materialize(_clean(_small_star(_clean(_large_star(current)))), f"{label}-edges")
+        count = current.count()
+        following = materialize(_clean(_small_star(_clean(_large_star(current, count)), count)), f"{label}-edges")
         drop_table(current)
         current = following
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

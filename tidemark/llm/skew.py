@@ -12,7 +12,7 @@ PARTS = 1000
 def attach(rows: DataFrame, info: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
     """Inner join of ``rows`` with ``info``, which has one row per key and, as ``size``, the key's number of rows.
 
-    ``total`` is the sum of the sizes. Fewer than ``PARTS`` keys can hold more than
+    ``total`` is the sum of the sizes, or more. Fewer than ``PARTS`` keys can hold more than
     total / PARTS rows each: those are broadcast, whatever the data, and every other key
     brings at most that many rows into one task of the shuffled join. Keys are not null.
     """
