@@ -270,6 +270,26 @@ def test_components_of_a_path(spark):
     assert got == {n: 0 for n in range(40)} | {100: 100, 101: 100}
 
 
+def test_components_with_frequent_nodes_equal_union_find(spark):
+    """A star whose centre is joined by broadcast, its centre the largest node, and many small components."""
+    rnd = random.Random(8)
+    edges = [(5000, n) for n in range(2000, 3200)] + [(rnd.randrange(900), rnd.randrange(900)) for _ in range(450)] + [(3100, 7)]
+    root: dict[int, int] = {}
+
+    def find(n):
+        root.setdefault(n, n)
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for u, v in edges:
+        low, high = sorted((find(u), find(v)))
+        root[high] = low
+    alone = {n for n in root if all(u == v for u, v in edges if n in (u, v))}
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "u bigint, v bigint"), "test").collect()}
+    assert got == {n: find(n) for n in root if n not in alone}
+
+
 def test_empty_tables(spark, empty):
     assert ngram_join.near_duplicates(empty).count() == 0
     assert ngram_join.one_of_each(empty).columns == empty.columns
