@@ -38,11 +38,17 @@ class MessageLog:
             return no_rows(self.spark, MESSAGE_SCHEMA)
         return self.spark.read.schema(MESSAGE_SCHEMA).parquet(self._topic_path(topic))
 
-    def read_stream(self, topic: str, max_files_per_trigger: int | None = None) -> DataFrame:
-        """The topic from its beginning, then whatever is published later."""
+    def read_stream(self, topic: str, max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
+        """The topic from its beginning, then whatever is published later.
+
+        A limit in bytes makes batches of even size, however small the files are; a file is
+        never cut. Only one of the limits may be given.
+        """
         reader = self.spark.readStream.schema(MESSAGE_SCHEMA)
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        if max_bytes_per_trigger:
+            reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
         return reader.parquet(self._topic_path(topic))
 
     def publish(self, messages: DataFrame, topic: str, limit: int = 0, start: int = 0, by_time: bool = False) -> int:
