@@ -49,3 +49,25 @@ def test_a_limit_in_bytes_cuts_batches_without_late_rows(spark, tmp_path):
     running.awaitTermination()
     assert len([p for p in running.recentProgress if p.numInputRows]) == log.file_count("t")
     assert sum(o.numRowsDroppedByWatermark for p in running.recentProgress for o in p.stateOperators) == 0
+
+
+def test_state_is_dealt_by_cores_and_the_session_keeps_its_setting(spark, tmp_path):
+    log = MessageLog(spark, str(tmp_path / "log"))
+    log.publish(records(spark, 10), "t")
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+
+    def state_partitions(setting):
+        spark.conf.set(name, setting)
+        try:
+            once = log.read_stream("t").withWatermark("timestamp", "1 minute").dropDuplicatesWithinWatermark(["offset"])
+            running = writers.start_append(once, str(tmp_path / f"out{setting}"), str(tmp_path / f"c{setting}"), None)
+            assert spark.conf.get(name) == setting
+            running.awaitTermination()
+            assert spark.read.parquet(str(tmp_path / f"out{setting}")).count() == 10
+            return running.lastProgress.stateOperators[0].numShufflePartitions
+        finally:
+            spark.conf.set(name, before)
+
+    assert state_partitions("64") == max(16, 2 * spark.sparkContext.defaultParallelism)
+    assert state_partitions("3") == 3

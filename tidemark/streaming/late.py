@@ -49,7 +49,7 @@ class LateWindows:
         return f"{self.late_path}/{query}/{batch_id}"
 
     def start(self, rows: DataFrame, checkpoint: str, trigger: str | None = "10 seconds") -> StreamingQuery:
-        return _start(rows.writeStream.foreachBatch(lambda batch, batch_id: self.add(batch, _query_id(batch), batch_id)), checkpoint, trigger)
+        return _start(rows.sparkSession, rows.writeStream.foreachBatch(lambda batch, batch_id: self.add(batch, _query_id(batch), batch_id)), checkpoint, trigger)
 
     def add(self, batch: DataFrame, query: str, batch_id: int) -> Snapshot | None:
         """Merge one micro-batch: rows in time into their windows, the others into the side output."""

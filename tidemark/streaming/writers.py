@@ -6,21 +6,22 @@ import threading
 from collections.abc import Callable
 from contextlib import nullcontext
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.session import few_state_partitions
 from tidemark.sources.additive import AdditiveTable
 from tidemark.sources.tables import KeyedTable, Snapshot
 
 
-def _start(writer, checkpoint: str, trigger: str | None, name: str | None = None) -> StreamingQuery:
+def _start(spark: SparkSession, writer, checkpoint: str, trigger: str | None, name: str | None = None) -> StreamingQuery:
     """Start with a processing-time trigger, or read what is there and stop."""
     writer = writer.option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
-    if trigger:
-        return writer.trigger(processingTime=trigger).start()
-    return writer.trigger(availableNow=True).start()
+    writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
+    with few_state_partitions(spark):
+        return writer.start()
 
 
 def _query_id(batch: DataFrame) -> str | None:
@@ -51,7 +52,7 @@ def start_upserts(
             if after:
                 after(before, committed)
 
-    return _start(rows.writeStream.outputMode(output_mode).foreachBatch(merge), checkpoint, trigger, name)
+    return _start(rows.sparkSession, rows.writeStream.outputMode(output_mode).foreachBatch(merge), checkpoint, trigger, name)
 
 
 def start_counts(
@@ -66,7 +67,7 @@ def start_counts(
     def add(batch: DataFrame, batch_id: int) -> None:
         table.add_batch(batch, _query_id(batch), batch_id, counts)
 
-    return _start(rows.writeStream.foreachBatch(add), checkpoint, trigger)
+    return _start(rows.sparkSession, rows.writeStream.foreachBatch(add), checkpoint, trigger)
 
 
 def start_append(
@@ -74,4 +75,4 @@ def start_append(
 ) -> StreamingQuery:
     """Append rows to Parquet files, each exactly once."""
     writer = rows.writeStream.outputMode("append").format("parquet").option("path", path)
-    return _start(writer, checkpoint, trigger)
+    return _start(rows.sparkSession, writer, checkpoint, trigger)
