@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 def lenient_int(text: Column) -> Column:
     """Text to int: fractions are cut off, anything unreadable becomes null.
 
-    The plain ``try_cast`` settles whole numbers; the patterns only run for the rest.
+    Text with a point goes by a pattern and never through a cast that fails: a failed
+    ``try_cast`` raises an error inside, which costs about as much as reading the row's JSON.
     """
     bare = F.trim(text)
-    number = r"^([+-]?)([0-9]*)(?:\.[0-9]*)?$"
-    cut = F.concat(F.regexp_extract(bare, number, 1), F.lit("0"), F.regexp_extract(bare, number, 2))
     has_value = bare.rlike(r"^[+-]?(?:[0-9]+\.[0-9]*|\.[0-9]*)$")
-    return F.coalesce(text.try_cast("int"), F.when(has_value, cut).try_cast("int"))
+    head = F.substring_index(bare, ".", 1)
+    cut = F.when(head.isin("", "+", "-"), F.lit(0)).otherwise(head.try_cast("int"))
+    return F.when(F.contains(text, F.lit(".")), F.when(has_value, cut)).otherwise(text.try_cast("int"))
 
 
 def exact_sum(value: str | Column, scale: int | None = None) -> Column:
