@@ -1,11 +1,13 @@
 """How many batches and state partitions streams use, on small invented rows."""
 
 import datetime as dt
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from tidemark.operators import windows
 from tidemark.plans import catalogue
+from tidemark.session import shared_dir
 from tidemark.sources.messages import MessageLog
 from tidemark.streaming import writers
 
@@ -71,3 +73,18 @@ def test_state_is_dealt_by_cores_and_the_session_keeps_its_setting(spark, tmp_pa
 
     assert state_partitions("64") == max(16, 2 * spark.sparkContext.defaultParallelism)
     assert state_partitions("3") == 3
+
+
+def test_sliding_windows_commit_once_a_part_however_many_files(spark, tmp_path):
+    """Each of the three parts is one batch and the one that ends the watermark; the table is written no more often."""
+    shared = Path(shared_dir(spark)) / "tidemark"
+    known = set(shared.glob("stream-windows-*"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = catalogue.QUERIES["stream_sliding"](spark, "/root/testdata/sf0.001").count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert rows == catalogue.QUERIES["sliding_window_agg"](spark, "/root/testdata/sf0.001").count()
+    (run,) = set(shared.glob("stream-windows-*")) - known
+    assert len(list(run.glob("log/topic=events/part-*.parquet"))) > 6
+    assert len(list(run.glob("table/_snapshots/*.json"))) <= 6
