@@ -3,12 +3,13 @@
 import datetime as dt
 from pathlib import Path
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tidemark.operators import windows
 from tidemark.plans import catalogue
 from tidemark.session import shared_dir
-from tidemark.sources.messages import MessageLog
+from tidemark.sources.messages import ROW_GROUP_BYTES, MessageLog, in_time_ranges
 from tidemark.streaming import writers
 
 START = dt.datetime(2024, 1, 1, 12, tzinfo=dt.timezone.utc)
@@ -88,3 +89,40 @@ def test_sliding_windows_commit_once_a_part_however_many_files(spark, tmp_path):
     (run,) = set(shared.glob("stream-windows-*")) - known
     assert len(list(run.glob("log/topic=events/part-*.parquet"))) > 6
     assert len(list(run.glob("table/_snapshots/*.json"))) <= 6
+
+
+def test_files_of_a_topic_are_shared_by_tasks(spark, tmp_path):
+    """A batch of few files keeps more cores busy than it has files: each holds several row groups."""
+    log = MessageLog(spark, str(tmp_path / "log"))
+    long = F.concat_ws("", *(F.sha2(F.concat("id", F.lit(i)).cast("string"), 512) for i in range(4)))
+    rows = spark.range(60000).select(F.lit("k").alias("key"), long.alias("value"), F.timestamp_seconds("id").alias("timestamp"), (F.col("id") + 1).alias("row_index"))
+    for topic, by_time in (("a", False), ("b", True)):
+        log.publish(rows.coalesce(1), topic, by_time=by_time)
+        files = list((tmp_path / "log" / f"topic={topic}").glob("part-*.parquet"))
+        groups = [pq.ParquetFile(f).metadata for f in files]
+        assert sum(g.num_rows for g in groups) == 60000
+        largest = max(g.row_group(i).total_byte_size for g in groups for i in range(g.num_row_groups))
+        assert max(g.num_row_groups for g in groups) > 1 and largest < 2 * ROW_GROUP_BYTES
+
+
+def test_arranged_messages_are_made_once(spark, tmp_path):
+    """Ranges of time are found without making the messages, and the files are the same as of ``by_time`` alone."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def value(number):
+        made.add(1)
+        return str(number)
+
+    def published(rows, topic, **options):
+        messages = rows.select(F.lit("k").alias("key"), value("id").alias("value"), "timestamp", (F.col("id") + 1).alias("row_index"))
+        log = MessageLog(spark, str(tmp_path / "log"))
+        log.publish(messages, topic, by_time=True, **options)
+        files = sorted((tmp_path / "log" / f"topic={topic}").glob("part-*.parquet"))
+        return [pq.read_table(f, partitioning=None).column("offset").to_pylist() for f in files]
+
+    rows = spark.range(200).select("id", F.timestamp_seconds((F.col("id") * 37) % 200).alias("timestamp"))
+    arranged = published(in_time_ranges(rows, "timestamp", "id"), "arranged", arranged=True)
+    assert made.value == 200
+    places = [i * 173 % 200 for i in range(200)]
+    assert [n for part in arranged for n in part] == places == [n for part in published(rows, "plain") for n in part]

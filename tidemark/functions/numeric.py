@@ -28,16 +28,24 @@ def exact_sum(value: str | Column, scale: int | None = None) -> Column:
     column = F.col(value) if isinstance(value, str) else value
     if scale is None:
         return F.sum(column)
-    exact = column.try_cast(f"decimal(30,{scale})")
+    exact = as_decimal(column, scale)
     return F.when(F.count(exact) == F.count(column), F.sum(exact).cast("double")).otherwise(F.sum(column))
 
 
-def sum_parts(value: str | Column, scale: int | None = None) -> list[Column]:
-    """Aggregates from which :func:`merged_parts` and :func:`sum_of_parts` make :func:`exact_sum` in two steps."""
+def as_decimal(value: str | Column, scale: int) -> Column:
+    """The decimal that :func:`exact_sum` adds, null where there is none."""
+    return (F.col(value) if isinstance(value, str) else value).try_cast(f"decimal(30,{scale})")
+
+
+def sum_parts(value: str | Column, scale: int | None = None, exact: Column | None = None) -> list[Column]:
+    """Aggregates from which :func:`merged_parts` and :func:`sum_of_parts` make :func:`exact_sum` in two steps.
+
+    ``exact`` is a column that holds :func:`as_decimal` of the value already.
+    """
     column = F.col(value) if isinstance(value, str) else value
     parts = [F.count(column).alias("_n"), F.sum(column).alias("_sum")]
     if scale is not None:
-        exact = column.try_cast(f"decimal(30,{scale})")
+        exact = as_decimal(column, scale) if exact is None else exact
         parts += [F.count(exact).alias("_exact_n"), F.sum(exact).alias("_exact")]
     return parts
 

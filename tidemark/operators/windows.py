@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import mean, merged_parts, part_names, sum_of_parts, sum_parts
+from tidemark.functions.numeric import as_decimal, mean, merged_parts, part_names, sum_of_parts, sum_parts
 
 
 def sliding_counts(
@@ -27,9 +27,13 @@ def sliding_counts(
     """
     if watermark:
         rows = rows.withWatermark(time, watermark)
+    # Made before a row is copied into its windows: the cast costs more than the sums.
+    exact = None
+    if scale is not None:
+        rows, exact = rows.withColumn("_exact_value", as_decimal(measure, scale)), F.col("_exact_value")
     windowed = rows.groupBy(F.window(time, size, slide).alias("w"), *groups).agg(
         F.count(F.lit(1)).alias("_rows"),
-        *sum_parts(measure, scale),
+        *sum_parts(measure, scale, exact),
     )
     return _finish(windowed, groups, scale)
 
